@@ -22,7 +22,62 @@ r AS (SELECT t.age_tier, t.length_type, t.lang_type, greatest(t.min_rows, (t.tar
       FROM sample_targets t CROSS JOIN s LEFT JOIN c ON c.a = {_FOLD.format('t.age_tier')} AND c.l = {_FOLD.format('t.length_type')} AND c.g = {_FOLD.format('t.lang_type')})
 """
 
+_SCORES = """
+WITH s AS (SELECT 'cer' AS metric, replace(lower(trim(dataset)), '-', '_') AS dataset, cer AS value FROM eval
+UNION ALL SELECT 'similarity', replace(lower(trim(dataset)), '-', '_'), CASE WHEN score_version = 1 THEN similarity * 2 - 1 ELSE similarity END FROM sim
+UNION ALL SELECT 'utmos', replace(lower(trim(dataset)), '-', '_'), utmos FROM mos)
+"""
+
+
+def _latest(table: str, key: str, value: str, name: str) -> str:
+    return f"""(SELECT {key} AS wav, max(CASE WHEN isfinite({value}) THEN struct_pack(t := coalesce(epoch_us(arrived_at), -1), v := {value}) END).v AS {name} FROM {table} WHERE {key} IS NOT NULL GROUP BY 1)"""
+
+
+_CLIPS = f"""
+WITH c AS (SELECT wav, a.cer, b.similarity, m.utmos FROM {_latest("eval", "wav", "cer", "cer")} a
+FULL JOIN {_latest("sim", "cloned_audio", "(CASE WHEN score_version = 1 THEN similarity * 2 - 1 ELSE similarity END)", "similarity")} b USING (wav)
+FULL JOIN {_latest("mos", "cloned_audio", "utmos", "utmos")} m USING (wav))
+"""
+
+
+def _rank(c: str) -> str:
+    return f"CASE WHEN {c} IS NOT NULL THEN rank() OVER (ORDER BY {c} NULLS LAST) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 END AS r_{c}"
+
+
+def _looks() -> tuple[str, str]:
+    """Characters and what they fold to, one to one, from the rules of lookalike."""
+    import unicodedata as ud
+
+    from . import lookalike as k
+
+    pairs = {a: b for a, b in zip(k.KATAKANA + k.KATAKANA_2 + k.RADICALS, k.HAN + k.HIRAGANA_2 + k.RADICALS_AS)}
+    for o in (*range(0x2E80, 0x2FE0), *range(0xFF01, 0xFFE7), *range(0x1D400, 0x1D800), *range(0xFB00, 0xFB07), 0x3000):
+        c = chr(o)
+        f = k.folded(c)
+        if len(f) == 1 and f != c:
+            pairs[c] = pairs.get(f, f)
+    pairs |= {c: " " for c in k._SPACES if c != " "}
+    for c, b in k.LOOK.items():
+        pairs[c] = b
+        for m in range(0x300, 0x345):
+            x, y = ud.normalize("NFC", c + chr(m)), ud.normalize("NFC", b + chr(m))
+            if len(x) == len(y) == 1:
+                pairs[x] = y
+    pairs = {a: b for a, b in pairs.items() if a != b}
+    return "".join(pairs).replace("'", "''"), "".join(pairs.values()).replace("'", "''")
+
+
+def _look(c: str) -> str:
+    a, b = _looks()
+    bare = rf"regexp_replace({c}, '\p{{Cf}}|[\x{{fe00}}-\x{{fe0f}}\x{{34f}}\x{{115f}}\x{{1160}}\x{{3164}}\x{{ffa0}}\x{{180b}}-\x{{180f}}]', '', 'g')"
+    return f"nfc_normalize(translate(nfc_normalize({bare}), '{a}', '{b}'))"
+
+
 ORACLES = {
+    "p1_ranks": _CLIPS + f"SELECT wav, {_rank('cer')}, {_rank('similarity')}, {_rank('utmos')} FROM c",
+    "p4_found": f"SELECT DISTINCT wav FROM eval WHERE wav IS NOT NULL AND gen_text <> asr_hypo AND {_look('gen_text')} = {_look('asr_hypo')}",
+    "p5_held": _SCORES + """, n AS (SELECT metric, coalesce(dataset, '') AS dataset, count(*) AS n FROM s WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY ALL)
+SELECT metric, dataset, q, n, true AS held FROM n, (SELECT unnest([0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99]::DOUBLE[]) AS q)""",
     "p2_found": _WINDOWS + "SELECT seq FROM r WHERE n >= 12 AND again >= 0.4 * total",
     "p2_shares": _WINDOWS + "SELECT seq, n AS n_letters, round(share, 6) AS repeated_share FROM r",
     "p6_found": _P6 + "SELECT age_tier, length_type, lang_type FROM r WHERE available < need",
