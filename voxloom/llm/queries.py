@@ -86,6 +86,24 @@ def p9_report(spark: SparkSession, d: str) -> DataFrame:
     return _mix(spark, d).report()
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    from .language import wrong_labels
+
+    return wrong_labels(table(spark, d, POOL, "seq", "text", "language"), "seq", "text", "language")
+
+
+def p3_languages(spark: SparkSession, d: str) -> DataFrame:
+    from .language import languages
+
+    return languages(table(spark, d, POOL, "seq", "text", "language"), "seq", "text", "language")
+
+
+def p3_segments(spark: SparkSession, d: str) -> DataFrame:
+    from .language import segments
+
+    return segments(table(spark, d, POOL, "seq", "text", "language"), "seq", "text", "language")
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     from .lookalike import lookalikes
 
@@ -151,4 +169,4 @@ def p1_ranks(spark: SparkSession, d: str) -> DataFrame:
     return average_ranks(written(_clips(spark, d)), "wav", ["cer", "similarity", "utmos"])
 
 
-QUERIES = {f.__name__: f for f in (p1_ranking, p1_ranks, p2_found, p2_shares, p2_lines, p4_found, p4_unified, p5_percentiles, p5_daily, p5_held, p6_found, p6_report, p6_sample, p7_found, p7_groups, p8_ids, p9_found, p9_sample, p9_report)}
+QUERIES = {f.__name__: f for f in (p1_ranking, p1_ranks, p2_found, p2_shares, p2_lines, p3_found, p3_languages, p3_segments, p4_found, p4_unified, p5_percentiles, p5_daily, p5_held, p6_found, p6_report, p6_sample, p7_found, p7_groups, p8_ids, p9_found, p9_sample, p9_report)}
