@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import quality  # noqa: F401
+from . import metrics, quality  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
