@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import letters, spread, units, written
 
 COUNTERS = 18  # bits
-BITMAP = 4  # words of 64 bits
+BITMAP = 8  # words of 64 bits
 HOT = 20_000  # postings of one element before it is split
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -131,7 +131,7 @@ def _tile(n: np.ndarray, indexed: np.ndarray, did: np.ndarray, bits: np.ndarray,
             if bi > bp or (1 << int(bi)) - 1 < least:
                 continue
             index = np.flatnonzero(indexed & (band == bi))
-            step = max(1, 1_000_000 // len(index))
+            step = max(1, 400_000 // len(index))
             for at in range(0, len(probe), step):
                 p = probe[at : at + step]
                 np_, ni = n[p][:, None], n[index][None, :]
