@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,8 +65,7 @@ def unknown_tags(c: str | Column) -> Column:
 
 def repeated_tag(c: str | Column, most: int = 2) -> Column:
     """Whether one known tag stands more than `most` times."""
-    t = tags(c)
-    return F.exists(F.array_distinct(t), lambda x: F.size(F.filter(t, lambda y: y == x)) > most)
+    return let(tags(c), lambda t: F.exists(F.array_distinct(t), lambda x: F.size(F.filter(t, lambda y: y == x)) > most))
 
 
 def start_issues(c: str | Column) -> Column:
@@ -173,17 +174,20 @@ def bare_form(c: str | Column) -> Column:
     return F.regexp_replace(F.lower(_c(c)), rf"({WS}|[\[\]，。？！,.?!])+", "")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body names it (inside lambdas too)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def grams(c: str | Column, k: int) -> Column:
     """Distinct character k-grams of a text, in one pass over its characters."""
-    ch = F.split(_c(c), "")
-    n = F.size(F.filter(ch, lambda x: x != ""))
-    return F.when(n >= k, F.array_distinct(F.transform(F.sequence(F.lit(1), n - (k - 1)), lambda i: F.array_join(F.slice(ch, i, k), "")))).otherwise(F.array().cast("array<string>"))
+    cut = lambda ch: F.when(F.size(ch) >= k, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(ch) - (k - 1)), lambda i: F.array_join(F.slice(ch, i, k), "")))).otherwise(F.array().cast("array<string>"))
+    return let(F.filter(F.split(_c(c), ""), lambda x: x != ""), cut)
 
 
 def shingles(c: str | Column) -> Column:
     """Character 3-grams; of up to six characters the characters themselves."""
-    t = _c(c)
-    return F.when(F.char_length(t) <= 6, F.array_distinct(F.filter(F.split(t, ""), lambda x: x != ""))).otherwise(grams(t, 3))
+    return let(_c(c), lambda t: F.when(F.char_length(t) <= 6, F.array_distinct(F.filter(F.split(t, ""), lambda x: x != ""))).otherwise(grams(t, 3)))
 
 
 def jaccard(a: Column, b: Column) -> Column:
