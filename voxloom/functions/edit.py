@@ -16,6 +16,14 @@ def operations(ref: list | str, hyp: list | str) -> tuple[int, int, int]:
 
     Row by row over the shorter inner loop in NumPy: cost * big - substitutions is minimised, so that one pass finds both.
     """
+    # what both begin or end with is matched in a best alignment
+    low, most = 0, min(len(ref), len(hyp))
+    while low < most and ref[low] == hyp[low]:
+        low += 1
+    high = 0
+    while high < most - low and ref[-1 - high] == hyp[-1 - high]:
+        high += 1
+    ref, hyp = ref[low : len(ref) - high], hyp[low : len(hyp) - high]
     codes: dict = {}
     a = np.fromiter((codes.setdefault(x, len(codes)) for x in ref), np.int64, len(ref))
     b = np.fromiter((codes.setdefault(x, len(codes)) for x in hyp), np.int64, len(hyp))

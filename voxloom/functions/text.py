@@ -44,6 +44,11 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body names it (inside lambdas too)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip(c: str | Column) -> Column:
     return F.regexp_replace(_c(c), f"^{WS}+|{WS}+$", "")
 
@@ -79,13 +84,17 @@ def start_issues(c: str | Column) -> Column:
 
 def conflict_issues(c: str | Column) -> Column:
     """Number of contradicting tag pairs, and of families (surprise, question) with three variants or more."""
-    t = tags(c)
-    n = F.lit(0)
-    for a, b in TAG_CONFLICTS:
-        n = n + (F.array_contains(t, a) & F.array_contains(t, b)).cast("int")
-    for family in ("surprise-", "question-"):
-        n = n + (F.size(F.array_distinct(F.filter(t, lambda x, f=family: x.startswith(f)))) >= 3).cast("int")
-    return n
+
+    def variants(t: Column, family: str) -> Column:
+        return F.size(F.array_distinct(F.filter(t, lambda x: x.startswith(family))))
+
+    def count(t: Column) -> Column:
+        n = F.lit(0)
+        for a, b in TAG_CONFLICTS:
+            n = n + (F.array_contains(t, a) & F.array_contains(t, b)).cast("int")
+        return n + sum((variants(t, family) >= 3).cast("int") for family in ("surprise-", "question-"))
+
+    return let(tags(c), count)
 
 
 def han_count(c: str | Column) -> Column:
@@ -98,22 +107,26 @@ def word_count(c: str | Column, joined: bool = False) -> Column:
 
 
 def speech_units(c: str | Column) -> Column:
-    return han_count(c) + word_count(c)
+    return let(untagged(c), lambda bare: F.regexp_count(bare, F.lit(HAN)) + F.regexp_count(bare, F.lit("[a-zA-Z]+")))
 
 
 def fits_language(text: str | Column, lang_type: str | Column) -> Column:
     """Whether the mix of Chinese and English is the declared one."""
-    h, w, k = han_count(text), word_count(text, True), _c(lang_type)
-    n = h + w
-    return F.coalesce(
-        F.when(n == 0, False)
-        .when(k == "pure_cn", (h > 0) & (w == 0))
-        .when(k == "pure_en", (w > 0) & (h == 0))
-        .when(k == "cn_mostly", (h > 0) & (h / n >= 0.55))
-        .when(k == "en_mostly", (w > 0) & (w / n >= 0.55))
-        .when(k == "frequent_mix", (h > 0) & (w > 0) & (F.least(h, w) / n >= 0.20)),
-        F.lit(False),
-    )
+    counts = let(untagged(text), lambda bare: F.struct(F.regexp_count(bare, F.lit(HAN)).alias("h"), F.regexp_count(bare, F.lit("[A-Za-z]+(?:['-][A-Za-z]+)?")).alias("w")))
+
+    def fits(x: Column) -> Column:
+        h, w, k = x["h"], x["w"], _c(lang_type)
+        n = h + w
+        return (
+            F.when(n == 0, False)
+            .when(k == "pure_cn", (h > 0) & (w == 0))
+            .when(k == "pure_en", (w > 0) & (h == 0))
+            .when(k == "cn_mostly", (h > 0) & (h / n >= 0.55))
+            .when(k == "en_mostly", (w > 0) & (w / n >= 0.55))
+            .when(k == "frequent_mix", (h > 0) & (w > 0) & (F.least(h, w) / n >= 0.20))
+        )
+
+    return F.coalesce(let(counts, fits), F.lit(False))
 
 
 def length_bound(length_type: str | Column, which: int) -> Column:
@@ -125,32 +138,38 @@ def length_bound(length_type: str | Column, which: int) -> Column:
 
 
 def fits_length(text: str | Column, length_type: str | Column) -> Column:
-    return speech_units(text).between(length_bound(length_type, 0), length_bound(length_type, 1))
+    return let(speech_units(text), lambda n: n.between(length_bound(length_type, 0), length_bound(length_type, 1)))
 
 
 def is_complete(c: str | Column) -> Column:
     """Whether an utterance ends as a whole one."""
-    bare = strip(untagged(c))
-    low = strip(F.regexp_replace(F.lower(bare), CLOSERS, ""))
-    bad = bare.rlike(OPEN_END)
-    for t in UNFINISHED:
-        bad = bad | low.endswith(t)
-    for p in TRAILS:
-        bad = bad | low.rlike(p)
-    return (bare != "") & ~bad
+
+    def unfinished(low: Column) -> Column:
+        bad = F.lit(False)
+        for t in UNFINISHED:
+            bad = bad | low.endswith(t)
+        for p in TRAILS:
+            bad = bad | low.rlike(p)
+        return bad
+
+    def complete(bare: Column) -> Column:
+        return (bare != "") & ~bare.rlike(OPEN_END) & ~let(strip(F.regexp_replace(F.lower(bare), CLOSERS, "")), unfinished)
+
+    return let(strip(untagged(c)), complete)
 
 
 def phonetic_markup(c: str | Column) -> Column:
-    bare = untagged(c)
-    found = F.lit(False)
-    for p in PHONETIC:
-        found = found | bare.rlike(p)
-    return (strip(bare) != "") & found
+    def found(bare: Column) -> Column:
+        hit = F.lit(False)
+        for p in PHONETIC:
+            hit = hit | bare.rlike(p)
+        return (strip(bare) != "") & hit
+
+    return let(untagged(c), found)
 
 
 def child_markers(c: str | Column) -> Column:
-    bare = untagged(c)
-    return bare.rlike(CHILD_MARKERS) | bare.rlike(CHILD_PARTICLES)
+    return let(untagged(c), lambda bare: bare.rlike(CHILD_MARKERS) | bare.rlike(CHILD_PARTICLES))
 
 
 def autocorrected(c: str | Column) -> Column:
@@ -174,11 +193,6 @@ def bare_form(c: str | Column) -> Column:
     return F.regexp_replace(F.lower(_c(c)), rf"({WS}|[\[\]，。？！,.?!])+", "")
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body of a value that is computed once, however often body names it (inside lambdas too)."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def grams(c: str | Column, k: int) -> Column:
     """Distinct character k-grams of a text, in one pass over its characters."""
     cut = lambda ch: F.when(F.size(ch) >= k, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(ch) - (k - 1)), lambda i: F.array_join(F.slice(ch, i, k), "")))).otherwise(F.array().cast("array<string>"))

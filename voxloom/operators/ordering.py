@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -15,8 +16,10 @@ def numbered(df: DataFrame, by: str, name: str = "rn", buckets: int = 64, descen
     """
     q = sorted(set(df.approxQuantile(by, [k / buckets for k in range(1, buckets)], 0.01)))
     x = F.col(by).cast("double")
-    bucket = F.coalesce(F.aggregate(F.array(*[F.lit(float(v)) for v in q]), F.lit(0), lambda acc, e: acc + (e < x).cast("int")), F.lit(len(q) + 1)) if q else F.when(x.isNull(), 1).otherwise(0)
-    rows = df.withColumn("_b", F.when(x.isNull(), len(q) + 1).otherwise((-bucket + len(q)) if descending else bucket))
+    edges = [float("-inf"), *(q or [0.0]), float("inf")]
+    df = Bucketizer(splits=edges, inputCol="_x", outputCol="_q", handleInvalid="keep").transform(df.withColumn("_x", x))
+    bucket = F.least(F.col("_q").cast("int"), F.lit(len(edges) - 2))
+    rows = df.withColumn("_b", F.when(x.isNull(), len(edges)).otherwise((-bucket + len(edges) - 1) if descending else bucket)).drop("_x", "_q")
     sizes = rows.groupBy("_b").agg(F.count("*").alias("_n"))
     offsets = sizes.select("_b", F.coalesce(F.sum("_n").over(W.orderBy("_b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_o"))
     order: list[Column] = [F.col(by).desc_nulls_last() if descending else F.col(by).asc_nulls_last()] + ([F.col(tie)] if tie else [])

@@ -25,10 +25,10 @@ def is_reading(scenario: str, subscene: str) -> Column:
 
 def severe_length(text: str, length_type: str, reading: Column) -> Column:
     """Far outside the bounds of the length type; reading matter has more room."""
-    n, lo, hi, k = t.speech_units(text), t.length_bound(length_type, 0), t.length_bound(length_type, 1), F.coalesce(F.col(length_type).isin(*LONGER), F.lit(False))
+    lo, hi, k = t.length_bound(length_type, 0), t.length_bound(length_type, 1), F.coalesce(F.col(length_type).isin(*LONGER), F.lit(False))
     least = F.greatest(F.lit(1), F.floor(lo * F.when(reading, 0.25).otherwise(0.35)))
     most = F.floor(hi * F.when(reading & k, 4.5).otherwise(3.0)) + F.when(reading & k, 14).otherwise(10)
-    return (lo > 0) & ((n < least) | (n > most))
+    return (lo > 0) & t.let(t.speech_units(text), lambda n: (n < least) | (n > most))
 
 
 def min_tags(length_type: str, scenario: str, reading: Column) -> Column:
@@ -43,11 +43,16 @@ def min_tags(length_type: str, scenario: str, reading: Column) -> Column:
 
 def rejected(df: DataFrame) -> DataFrame:
     """df with reason: the first rule that a row fails, or pass. Cheap rules stand first; null lengths count as medium."""
-    d = df.withColumn("text", t.strip("text")).withColumn("length_type", F.coalesce("length_type", F.lit("medium")))
-    low, reading = F.lower("text"), is_reading("scenario", "subscene")
-    bad = F.lit(False)
-    for m in BAD_MARKERS:
-        bad = bad | low.contains(m)
+    d = df.withColumn("text", t.strip("text")).withColumn("length_type", F.coalesce("length_type", F.lit("medium"))).withColumn("_reading", is_reading("scenario", "subscene"))
+    reading = F.col("_reading")
+
+    def marked(low: Column) -> Column:
+        hit = F.lit(False)
+        for m in BAD_MARKERS:
+            hit = hit | low.contains(m)
+        return hit
+
+    bad = t.let(F.lower("text"), marked)
     reason = (
         F.when(F.coalesce("text", F.lit("")) == "", "empty")
         .when(bad, "bad_marker")
@@ -64,7 +69,7 @@ def rejected(df: DataFrame) -> DataFrame:
         .when(t.start_issues("text") + t.conflict_issues("text") > F.when(reading, 6).otherwise(5), "validation_issues")
         .otherwise("pass")
     )
-    return d.withColumn("reason", reason)
+    return d.withColumn("reason", reason).drop("_reading")
 
 
 def passed(df: DataFrame) -> DataFrame:

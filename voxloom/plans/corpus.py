@@ -11,7 +11,7 @@ from ..functions import vectors as v
 from ..operators import batching as b
 from ..operators import dedup as dd
 from ..operators import ordering as o
-from ..session import table
+from ..session import spread, table
 from .quality import _DEDUP, _s
 from .registry import query
 
@@ -30,14 +30,14 @@ def cer_pairs(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def cer_operations(spark: SparkSession, d: str) -> DataFrame:
     """Substitutions, insertions, deletions and rate of every scored row (X16); the distance is checked by cer_pairs and by tests."""
-    df = table(spark, d, "eval", "wav", "ref_normalized", "hypo_normalized").where("hypo_normalized is not null").withColumn("x", edit.char_operations("ref_normalized", "hypo_normalized"))
+    df = spread(table(spark, d, "eval", "wav", "ref_normalized", "hypo_normalized").where("hypo_normalized is not null")).withColumn("x", edit.char_operations("ref_normalized", "hypo_normalized"))
     return df.select("wav", "x.*")
 
 
 @query()
 def wer_operations(spark: SparkSession, d: str) -> DataFrame:
     """The same by word."""
-    df = table(spark, d, "eval", "wav", "gen_text", "asr_hypo").where("asr_hypo is not null").withColumn("x", edit.word_operations(t.tts_text(t.untagged("gen_text")), t.tts_text("asr_hypo")))
+    df = spread(table(spark, d, "eval", "wav", "gen_text", "asr_hypo").where("asr_hypo is not null")).withColumn("x", edit.word_operations(t.tts_text(t.untagged("gen_text")), t.tts_text("asr_hypo")))
     return df.select("wav", "x.*")
 
 
@@ -198,25 +198,25 @@ def task_upsert(spark: SparkSession, d: str) -> DataFrame:
 def normalized_texts(spark: SparkSession, d: str) -> DataFrame:
     """Strict and safe normal forms of references."""
     lang = t.tag_language("text", "language", "lang_type")[0]
-    return table(spark, d, POOL, "seq", "text", "language", "lang_type").select("seq", normalize.normalized_strict("text").alias("strict"), normalize.reference_form("text", lang).alias("safe"))
+    return spread(table(spark, d, POOL, "seq", "text", "language", "lang_type")).select("seq", normalize.normalized_strict("text").alias("strict"), normalize.reference_form("text", lang).alias("safe"))
 
 
 @query()
 def html_forms(spark: SparkSession, d: str) -> DataFrame:
     """Decoded entities."""
-    return table(spark, d, "documents", "doc_id", "text").select("doc_id", normalize.html_decoded("text").alias("decoded"))
+    return spread(table(spark, d, "documents", "doc_id", "text")).select("doc_id", normalize.html_decoded("text").alias("decoded"))
 
 
 @query()
 def text_chunks(spark: SparkSession, d: str) -> DataFrame:
     """Chunks at punctuation, one row each."""
-    return table(spark, d, "documents", "doc_id", "text").select("doc_id", F.posexplode(speech.chunked("text", 200, 40)).alias("pos", "chunk"))
+    return spread(table(spark, d, "documents", "doc_id", "text")).select("doc_id", F.posexplode(speech.chunked("text", 200, 40)).alias("pos", "chunk"))
 
 
 @query()
 def estimated_durations(spark: SparkSession, d: str) -> DataFrame:
     """Spoken weight and estimated seconds of texts (M3-M5)."""
-    df = table(spark, d, POOL, "seq", "text")
+    df = spread(table(spark, d, POOL, "seq", "text"))
     return df.select("seq", speech.spoken_weight("text").alias("weight"), speech.estimated_seconds("text", F.lit("Nice to meet you."), F.lit(1.0)).alias("seconds"))
 
 

@@ -31,3 +31,9 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     """One of the driver's tables; columns are pruned at the scan."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*cols) if cols else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spreads a scan of fewer partitions than there are cores, so that Python work uses all of them; larger inputs are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
