@@ -17,6 +17,7 @@ value per item (clip_scores takes the latest row, then the larger value). Empty
 from __future__ import annotations
 
 import numpy as np
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -35,17 +36,13 @@ def _ranked_values(long: DataFrame) -> DataFrame:
     """(name, value, n) -> name, value, n, before (rows with less) of every distinct value."""
     names = [r[0] for r in long.select("name").distinct().collect()]  # as many as there are scores
     counted = long.groupBy("name", "value").agg(F.sum("n").alias("n"))
-    cuts = {}
-    for s in names:
-        q = counted.where(F.col("name") == s).approxQuantile("value", [k / BUCKETS for k in range(1, BUCKETS)], 0.002)
-        cuts[s] = sorted(set(q))
-    bucket = F.lit(0)
-    for s in names:
-        edges = F.array(*[F.lit(float(x)) for x in cuts[s]])
-        # number of edges <= value, by binary search over the fixed array
-        low = F.aggregate(edges, F.lit(0), lambda acc, e: acc + (e <= F.col("value")).cast("int")) if cuts[s] else F.lit(0)
-        bucket = F.when(F.col("name") == s, low).otherwise(bucket)
-    placed = counted.withColumn("bucket", bucket)
+    placed = counted
+    for k, s in enumerate(names):
+        cuts = sorted(set(counted.where(F.col("name") == s).approxQuantile("value", [k / BUCKETS for k in range(1, BUCKETS)], 0.002)))
+        edges = [float("-inf"), *(cuts or [0.0]), float("inf")]
+        placed = Bucketizer(splits=edges, inputCol="value", outputCol=f"_b{k}").transform(placed)
+    bucket = F.coalesce(*[F.when(F.col("name") == s, F.col(f"_b{k}")) for k, s in enumerate(names)], F.lit(0.0))
+    placed = placed.select("name", "value", "n", bucket.cast("int").alias("bucket"))
     totals = placed.groupBy("name", "bucket").agg(F.sum("n").alias("t"))  # scores x BUCKETS rows
     offsets = totals.select("name", "bucket", F.coalesce(F.sum("t").over(W.partitionBy("name").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
     inside = F.coalesce(F.sum("n").over(W.partitionBy("name", "bucket").orderBy("value").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
