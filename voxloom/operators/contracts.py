@@ -31,7 +31,7 @@ def meets(contract: dict) -> Column:
 
 def json_text(c: str) -> Column:
     """A text as JSON, null as null."""
-    t = F.regexp_replace(F.regexp_replace(F.col(c), r"\\", r"\\\\\\\\"), '"', '\\\\\\\\"')
+    t = F.replace(F.replace(F.col(c), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
     return F.coalesce(F.concat(F.lit('"'), t, F.lit('"')), F.lit("null"))
 
 

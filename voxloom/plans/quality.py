@@ -147,8 +147,8 @@ def emotion_alignment(spark: SparkSession, d: str) -> DataFrame:
 @query(f"SELECT coalesce(lang_type, '') AS lang_type, count(*) AS n, count(*) FILTER (NOT {_FITS}) AS mismatched FROM {POOL} GROUP BY 1")
 def language_mismatch(spark: SparkSession, d: str) -> DataFrame:
     """Declared against actual language mix."""
-    df = table(spark, d, POOL, "text", "lang_type")
-    return df.groupBy(F.coalesce("lang_type", F.lit("")).alias("lang_type")).agg(F.count("*").alias("n"), F.count_if(~t.fits_language("text", "lang_type")).alias("mismatched"))
+    df = table(spark, d, POOL, "text", "lang_type").select(F.coalesce("lang_type", F.lit("")).alias("lang_type"), (~t.fits_language("text", "lang_type")).alias("off"))
+    return df.groupBy("lang_type").agg(F.count("*").alias("n"), F.count_if("off").alias("mismatched"))
 
 
 @query(f"""SELECT CASE WHEN grouping(age_tier) = 0 THEN 'age_tier' WHEN grouping(lang_type) = 0 THEN 'lang_type' ELSE 'length_type' END AS dimension,
