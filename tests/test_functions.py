@@ -35,7 +35,7 @@ def test_edit_udfs(spark):
     [
         ("三百二十万零五", "⟦NUM:3200005⟧"), ("2025/02/30", "2025/02/30"), ("二〇二四年二月二十九日", "⟦DATE:2024-02-29⟧"), ("九点三刻", "⟦TIME:09:45⟧"), ("23:61", "23:61"), ("百分之三十五点五", "⟦PERCENT:35.5⟧"), ("forty two percent", "⟦PERCENT:42⟧"),
         ("€7.50", "⟦MONEY:EUR:7.5⟧"), ("三块五毛钱", "⟦MONEY:CNY:3.5⟧"), ("6/8 kg", "⟦QTY:3/4:kg⟧"), ("15 minutes", "⟦QTY:15:min⟧"), ("四分之三", "⟦FRACTION:3/4⟧"), ("two thirds", "⟦FRACTION:2/3⟧"), ("¾", "⟦FRACTION:3/4⟧"), ("第三十一", "⟦ORDINAL:31⟧"),
-        ("22nd", "⟦ORDINAL:22⟧"), ("23th", "23th"), ("ninety-second", "⟦ORDINAL:92⟧"), ("电话是一二三四", "电话是⟦DIGITS:1234⟧"), ("007", "⟦DIGITS:007⟧"), ("12,345,678", "⟦NUM:12345678⟧"), ("three thousand two hundred and six", "⟦NUM:3206⟧"), ("minus five", "⟦NUM:-5⟧"),
+        ("22nd", "⟦ORDINAL:22⟧"), ("23th", "23th"), ("thirty-first", "⟦ORDINAL:31⟧"), ("电话是一二三四", "电话是⟦DIGITS:1234⟧"), ("007", "⟦DIGITS:007⟧"), ("12,345,678", "⟦NUM:12345678⟧"), ("three thousand two hundred and six", "⟦NUM:3206⟧"), ("minus five", "⟦NUM:-5⟧"),
         ("&lt;b&gt;", "b"), ("&nosuch;", "⟦HTML:nosuch⟧"), ("万一下雨", "万一下雨"), ("一起走", "一起走"), ("比分2/3", "比分2/3"), ("five six", "⟦NUM:5⟧ ⟦NUM:6⟧"), ("", ""),
     ],
 )
