@@ -1,0 +1,25 @@
+"""The queries of this subpackage on the smallest tables, against SQL where there is some."""
+
+import os
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).parents[1]))
+from oracle import SF, database, same  # noqa: E402
+
+from voxloom.llm.oracles import ORACLES  # noqa: E402
+from voxloom.llm.queries import QUERIES  # noqa: E402
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_against_sql(spark, name):
+    same(spark, database(), QUERIES[name], ORACLES[name])
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+def test_runs(spark, name):
+    assert QUERIES[name](spark, SF).count() >= 0
