@@ -102,3 +102,31 @@ def warnings(df: DataFrame) -> DataFrame:
     )
     said = F.array_compact(F.array(F.when(F.col("mismatch") > 0.005, "language mismatch"), F.when(F.col("lengths") > 0.01, "length mismatch"), F.when(F.col("untagged") > 0.2, "few tags")))
     return rates.select("n", F.round("mismatch", 6).alias("mismatch"), F.round("lengths", 6).alias("lengths"), F.round("untagged", 6).alias("untagged"), F.array_join(said, "; ").alias("warnings"))
+
+
+# Fixed values of the variant for adult texts.
+ADULT_MARKERS = ("股票", "投资", "政治", "战争", "sex", "kill", "die", "porn", "no cap", "yyds", "绝绝子", " emo", "emo了", " um", " uh", "ugh", "soooo", "sooo ", "吃饭饭", "宝宝要", "脑斧", "灰机")
+ADULT_BOUNDS = {"ultra_short": (5, 15), "short": (15, 40), "medium": (40, 100), "long": (100, 250), "very_long": (250, 500)}
+CHILD_WORDS = ("饭饭", "水水", "觉觉", "要要要", "宝宝不", "明明要", "七饭")
+
+
+def adult(df: DataFrame, bounds: dict[str, tuple[int, int]] | None = None) -> DataFrame:
+    """Rows that pass the variant for adult texts: other markers and wider bounds (0.35 of the least, 1.5 of the most plus 10 units), no child words."""
+    d = df.withColumn("text", t.strip("text")).withColumn("length_type", F.coalesce("length_type", F.lit("medium")))
+
+    def named(words: tuple[str, ...]):
+        def hit(x: Column) -> Column:
+            out = F.lit(False)
+            for w in words:
+                out = out | x.contains(w)
+            return out
+
+        return hit
+
+    table = bounds or ADULT_BOUNDS
+    lo, hi = F.lit(0), F.lit(9999)
+    for k, (a, b) in table.items():
+        lo, hi = F.when(F.col("length_type") == k, a).otherwise(lo), F.when(F.col("length_type") == k, b).otherwise(hi)
+    ok = (F.coalesce("text", F.lit("")) != "") & ~t.let(F.lower("text"), named(ADULT_MARKERS)) & ~t.let(F.col("text"), named(CHILD_WORDS)) & F.coalesce(F.col("lang_type").isin(*t.LANG_TYPES), F.lit(False))
+    ok = ok & t.fits_language("text", "lang_type") & (F.size(t.unknown_tags("text")) == 0) & t.is_complete("text") & ~t.phonetic_markup("text") & (F.size(t.tags("text")) <= 4) & ~t.repeated_tag("text")
+    return d.where(ok & t.let(t.speech_units("text"), lambda n: n.between(lo * 0.35, hi * 1.5 + 10))).where(t.start_issues("text") + t.conflict_issues("text") <= 5).withColumn("text", t.autocorrected("text"))
