@@ -23,6 +23,7 @@ from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from .common import _CJK, TAG, map_rows, spread
 
@@ -169,16 +170,23 @@ def learn(df: DataFrame, text: str, language: str, rows: int = TRAIN_ROWS, chars
     """Training text of each language, from a bounded sample of labelled rows that check each other in halves."""
     han, kana, hangul, latin = f"[{_HAN}]", f"[{_KANA}]", f"[{_HANGUL}]", "[A-Za-z]"
     wants = {"zh": (han, (kana, hangul, latin)), "ja": (kana, (hangul, latin)), "ko": (hangul, (latin,))}
-    labelled = df.where(F.col(text).isNotNull()).select(label(language).alias("l"), F.col(text).alias("t"), F.xxhash64(text).alias("h")).where(F.col("l").isin(*LANGUAGES)).distinct()
+    fits = F.lit(False)
+    for x in LANGUAGES:
+        fits = fits | ((F.col("l") == x) & F.col("t").rlike(wants.get(x, (latin + "{2}",))[0]))
+    labelled = df.where(F.col(text).isNotNull()).select(label(language).alias("l"), F.col(text).alias("t"), F.xxhash64(text).alias("h")).where(fits)
+    first = labelled.withColumn("r", F.row_number().over(W.partitionBy("l").orderBy("h", "t"))).where(F.col("r") <= rows)  # cut per task before the shuffle
     one: dict[str, list[str]] = {x: [] for x in LANGUAGES}
     two: dict[str, list[str]] = {x: [] for x in LANGUAGES}
-    for x in LANGUAGES:
-        size, (need, bar) = 0, wants.get(x, (latin + "{2}", (han, kana, hangul)))
-        for k, (t,) in enumerate(labelled.where((F.col("l") == x) & F.col("t").rlike(need)).orderBy("h", "t").limit(rows).select("t").collect()):  # bounded by rows; a row lies in one half
-            for s in SENTENCE.findall(TAG.sub(" ", t)) if size < chars else ():
-                if re.search(need, s) and not any(re.search(y, s) for y in bar):
-                    (two if k % 2 else one)[x].append(s)
-                    size += len(s)
+    size, seen = dict.fromkeys(LANGUAGES, 0), set()
+    for x, t, k in sorted(map(tuple, first.select("l", "t", "r").collect()), key=lambda r: (r[0], r[2])):  # at most 7 x rows
+        need, bar = wants.get(x, (latin + "{2}", (han, kana, hangul)))
+        if (x, t) in seen or size[x] >= chars:
+            continue
+        seen.add((x, t))
+        for s in SENTENCE.findall(TAG.sub(" ", t)):  # a row lies in one half
+            if re.search(need, s) and not any(re.search(y, s) for y in bar):
+                (two if len(seen) % 2 else one)[x].append(s)
+                size[x] += len(s)
 
     def joined(texts: list[str], kind: str) -> str:
         return "\0".join("".join(map(chr, _codes(s, kind))) for s in texts)[:chars]
