@@ -22,11 +22,11 @@ def _refs(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH r AS (SELECT speaker_key, sample_rate, sum(frames)::HUGEINT AS f, count(*) AS n FROM {_REF} WHERE frames > 0 AND sample_rate > 0 GROUP BY 1, 2)
-SELECT speaker_key, sum(f * (7056000 // sample_rate))::DOUBLE AS numerator, 7056000 AS denominator, round(sum(f * (7056000 // sample_rate))::DOUBLE / 7056000, 6) AS seconds, sum(n)::BIGINT AS files,
+SELECT speaker_key, sum(f * (7056000 // sample_rate))::DOUBLE AS numerator, 7056000 AS denominator, sum(f * (7056000 // sample_rate))::DOUBLE / 7056000 AS seconds, sum(n)::BIGINT AS files,
 greatest(0, 60 * 7056000 - sum(f * (7056000 // sample_rate)))::DOUBLE AS deficit, sum(f * (7056000 // sample_rate)) >= 60 * 7056000 AS meets FROM r GROUP BY 1""")
 def speaker_deficit(spark: SparkSession, d: str) -> DataFrame:
     """Exact duration per speaker over mixed sample rates, deficit to 60 s."""
-    return q.exact_durations(_refs(spark, d), "speaker_key", 60).select("speaker_key", F.col("numerator").cast("double").alias("numerator"), F.col("denominator"), F.round("seconds", 6).alias("seconds"), "files", F.col("deficit").cast("double").alias("deficit"), "meets")
+    return q.exact_durations(_refs(spark, d), "speaker_key", 60).select("speaker_key", F.col("numerator").cast("double").alias("numerator"), F.col("denominator"), "seconds", "files", F.col("deficit").cast("double").alias("deficit"), "meets")
 
 
 @query(f"""SELECT speaker_key, coalesce(o.n, 0) AS original, coalesce(g.n, 0) AS generated, coalesce(a.n, 0) AS accepted FROM (SELECT DISTINCT speaker_key FROM {_REF}) s

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,3 +40,24 @@ def spread(df: DataFrame) -> DataFrame:
     """Spreads a scan of fewer partitions than there are cores, so that Python work uses all of them; larger inputs are left as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def ship(spark: SparkSession) -> None:
+    """Makes the package importable in Python workers: it is sent along unless they find it already (installed, or on their path). Once per application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_voxloom_shipped", False):
+        return
+
+    def found(_: int) -> bool:
+        import importlib.util
+
+        return importlib.util.find_spec("voxloom") is not None
+
+    if not sc.parallelize([0], 1).map(found).first():
+        root = Path(__file__).parent
+        path = os.path.join(tempfile.mkdtemp(), "voxloom.zip")
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for p in sorted(root.rglob("*.py")):
+                z.write(p, p.relative_to(root.parent))
+        sc.addPyFile(path)
+    sc._voxloom_shipped = True
