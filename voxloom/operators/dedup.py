@@ -8,7 +8,6 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ..functions import text as t
 
@@ -29,7 +28,13 @@ def exact(df: DataFrame, text: str, seq: str, mode: str = "fixed") -> DataFrame:
         a, b = keys.select(F.col("_h").alias("_a"), F.col("_first").alias("_fa")), keys.select(F.col("_h").alias("_b"), F.col("_first").alias("_fb"))
         return ok.join(a, "_a").join(b, "_b").where((F.col(seq) == F.col("_fa")) & (F.col(seq) == F.col("_fb"))).select(*df.columns)
     # equal texts have equal bare forms, so the first of a bare form is the first of its text too
-    return d.withColumn("_r", F.row_number().over(W.partitionBy("_b").orderBy(seq))).where("_r = 1").select(*df.columns)
+    d = d.withColumn("_b", F.coalesce("_b", F.lit("")))
+    return _firsts(d, "_b", seq).select(*df.columns)
+
+
+def _firsts(d: DataFrame, by: str, seq: str) -> DataFrame:
+    """Rows of the least seq of each key. The least is found by partial aggregation and joined back on key and seq, so a key that most rows share is no hot task."""
+    return d.join(d.groupBy(by).agg(F.min(seq).alias(seq)), [by, seq], "left_semi")
 
 
 def context_key(*cols: str) -> F.Column:
@@ -102,7 +107,8 @@ def incremental(df: DataFrame, key: str, text: str, seq: str, context: tuple[str
     Sequential inside a context by definition, in one streaming pass per context (constant memory but for its kept forms).
     """
     rows = df.select(F.col(key).alias("k"), F.col(seq).alias("q"), context_key(*context).alias("c"), t.dedup_form(text).alias("f"))
-    first = rows.withColumn("r", F.when(F.col("f") == "", 1).otherwise(F.row_number().over(W.partitionBy("f").orderBy("q")))).where("r = 1").drop("r")
+    rows = rows.withColumn("f", F.coalesce("f", F.lit("")))
+    first = _firsts(rows.where("f <> ''"), "f", "q").select("k", "q", "c", "f").unionByName(rows.where("f = ''"))
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

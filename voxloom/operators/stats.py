@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 LEVELS = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 
@@ -58,9 +61,19 @@ def with_macro(rates: DataFrame, label: str, rate: str, digits: int, before_roun
     return rates.select(label, F.round(rate, digits).alias(rate)).unionByName(macro)
 
 
-def list_fingerprint(df: DataFrame, value: str, chunk: int = 200_000) -> DataFrame:
-    """SHA-256 over the sorted values, one a line. The order is global, so the values of one list meet in one aggregate; lists beyond `chunk` rows are for tree_fingerprint."""
-    return df.agg(F.sha2(F.concat(F.array_join(F.array_sort(F.collect_list(value)), "\n"), F.when(F.count(value) > 0, "\n").otherwise("")), 256).alias("fingerprint"), F.count(value).alias("n"))
+def list_fingerprint(df: DataFrame, value: str) -> DataFrame:
+    """fingerprint, n: SHA-256 over the sorted values, one a line. Such a hash runs over the list in order, so one task reads it, sorted on disk if need be, in constant memory; tree_fingerprint needs no single task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        h, n = hashlib.sha256(), 0
+        for b in batches:
+            n += b.num_rows
+            h.update("".join(f"{x}\n" for x in b.column(0).to_pylist()).encode())
+        yield pa.RecordBatch.from_arrays([pa.array([h.hexdigest()]), pa.array([n], pa.int64())], names=["fingerprint", "n"])
+
+    one = df.where(F.col(value).isNotNull()).select(F.col(value).cast("string").alias("v")).repartition(1).sortWithinPartitions("v").mapInArrow(run, "fingerprint string, n bigint")
+    # an empty table has no task that could say so
+    return one.agg(F.coalesce(F.max("fingerprint"), F.sha2(F.lit("").cast("binary"), 256)).alias("fingerprint"), F.coalesce(F.max("n"), F.lit(0)).alias("n"))
 
 
 def tree_fingerprint(df: DataFrame, value: str, slices: int = 256) -> DataFrame:
@@ -82,9 +95,3 @@ def pass_rates(df: DataFrame, key: str, score: str, least: float) -> DataFrame:
     """Per reference: items, passes (strictly above), pass rate, max and mean score."""
     x = finite(score)
     return df.groupBy(key).agg(F.count("*").alias("items"), F.count_if(x > least).alias("passes"), F.round(F.count_if(x > least) / F.count("*"), 6).alias("pass_rate"), F.max(x).alias("best"), F.round(F.avg(x), 6).alias("mean"))
-
-
-def ranked(df: DataFrame, by: list[Column], limit: int | None = None, name: str = "rank") -> DataFrame:
-    """Rows in a total order with their rank. With a limit the rows are cut first (a distributed top-k), so that the window sees `limit` rows only."""
-    cut = df.orderBy(*by).limit(limit) if limit else df
-    return cut.withColumn(name, F.row_number().over(W.orderBy(*by)))
