@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import letters, spread, units, written
+from .common import letters, units, written
 
 COUNTERS = 18  # bits
 BITMAP = 8  # words of 64 bits
@@ -210,8 +210,10 @@ class NearDuplicates:
         self.key, (num, den) = key, threshold
         spark = df.sparkSession
         by = F.struct(F.col(order), F.col(text)) if order else F.struct(F.col(text))
-        once = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).groupBy(key).agg(F.min(by).alias("_m")).select(key, F.col(f"_m.{text}").alias(text))
-        rows = written(sets(spread(once), key, text, least_units))
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+        # an explicit number of partitions is kept by the aggregation and by adaptive execution: the Python work behind it is spread
+        once = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).repartition(parts, key).groupBy(key).agg(F.min(by).alias("_m")).select(key, F.col(f"_m.{text}").alias(text))
+        rows = written(sets(once, key, text, least_units))
         self.classes = written(rows.groupBy("sig").agg(F.first("keys").alias("keys")).withColumn("did", F.monotonically_increasing_id()))
         self.members = rows.select("_k", "sig").join(self.classes.select("sig", "did"), "sig").select("_k", "did")
         counts = spark.sparkContext.broadcast(frequencies(self.classes))
