@@ -29,18 +29,44 @@ def meets(contract: dict) -> Column:
     return F.coalesce(ok & ~F.isnan(x) & (x < float("inf")) & (x >= 0), F.lit(False))
 
 
+# Escapes of Python's json.dumps with ensure_ascii=False.
+_ESCAPES = {chr(i): f"\\u{i:04x}" for i in range(32)} | {"\b": "\\b", "\f": "\\f", "\n": "\\n", "\r": "\\r", "\t": "\\t"}
+
+
 def json_text(c: str) -> Column:
-    """A text as JSON, null as null."""
-    t = F.replace(F.replace(F.col(c), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-    return F.coalesce(F.concat(F.lit('"'), t, F.lit('"')), F.lit("null"))
+    """A value as Python's json.dumps writes it: texts quoted and escaped, integers and booleans bare, null as null. Fails on other types, whose spelling differs."""
+    v = F.col(c).cast("string")
+    t = F.replace(F.replace(v, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    whole = t
+    for raw, escaped in _ESCAPES.items():
+        whole = F.replace(whole, F.lit(raw), F.lit(escaped))
+    t = F.when(v.rlike(r"[\x00-\x1f]"), whole).otherwise(t)
+    kind = F.typeof(c)
+    text = F.when(kind == "string", F.concat(F.lit('"'), t, F.lit('"'))).when(kind.isin("tinyint", "smallint", "int", "bigint", "boolean"), v).when(kind != "void", F.raise_error(F.concat(F.lit(f"no canonical JSON for {c}: "), kind)).cast("string"))
+    return F.coalesce(text, F.lit("null"))
 
 
 def canonical_json(cols: list[str]) -> Column:
-    """JSON object with sorted keys, a blank after commas and colons, nulls kept; for texts without control characters."""
+    """JSON object with sorted keys, a blank after commas and colons, nulls kept; as json.dumps(..., ensure_ascii=False, sort_keys=True) gives it."""
     parts = [F.concat(F.lit(f'"{c}": '), json_text(c)) for c in sorted(cols)]
     return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
 
 
+def text_id(prefix: str, cols: list[str]) -> Column:
+    """The prefix and 16 hex digits of the MD5 of the identity's canonical JSON."""
+    return F.concat(F.lit(prefix), F.substring(F.md5(canonical_json(cols)), 1, 16))
+
+
+def generated_ids(df: DataFrame) -> DataFrame:
+    """text_id of each row from the six fields of C12; an empty scenario counts as none."""
+    return df.withColumn("scenario", F.nullif("scenario", F.lit(""))).withColumn("text_id", text_id("gen_", ["text", "lang_type", "length_type", "scenario", "subscene", "task_id"]))
+
+
+def adult_ids(df: DataFrame) -> DataFrame:
+    """text_id of each row from the five fields of H20, of which age_tier is always 'adult'."""
+    return df.withColumn("age_tier", F.lit("adult")).withColumn("text_id", text_id("adult_", ["text", "lang_type", "scenario", "task_id", "age_tier"]))
+
+
 def required(df: DataFrame, error: Column, what: str) -> DataFrame:
     """df, failing at run time on the first row that has an error."""
     return df.where(F.when(error.isNotNull(), F.raise_error(F.concat(F.lit(f"{what}: "), error)).cast("boolean")).otherwise(True))

@@ -338,13 +338,29 @@ def hash_partition(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT id, 'gen_' || substr(md5('{\"emotion\": ' || coalesce('\"' || emotion || '\"', 'null') || ', \"text\": ' || '\"' || replace(replace(text, '\\', '\\\\'), '\"', '\\\"') || '\"}'), 1, 16) AS text_id FROM (SELECT DISTINCT id, emotion, text FROM llm_children_100k_asr_complete WHERE id IS NOT NULL AND NOT regexp_matches(text, '[\\x00-\\x1f]'))")
 def text_ids(spark: SparkSession, d: str) -> DataFrame:
-    """Ids from the MD5 of a canonical JSON with sorted keys and explicit nulls."""
+    """Ids from the MD5 of a canonical JSON of emotion and text, as the SQL has them: only rows whose text is neither null nor holds a control character. All rows with the reference's fields: generated_text_ids, adult_text_ids."""
     from ..operators.contracts import canonical_json
 
     df = table(spark, d, "llm_children_100k_asr_complete", "id", "emotion", "text").where("id is not null").where(~F.col("text").rlike(r"[\x00-\x1f]")).distinct()
     return df.select("id", F.concat(F.lit("gen_"), F.substring(F.md5(canonical_json(["emotion", "text"])), 1, 16)).alias("text_id"))
 
 
+@query()
+def generated_text_ids(spark: SparkSession, d: str) -> DataFrame:
+    """The id that each row of the pool gets from its text, types, scene and task; every row, a stored id beside it (C12). A null counts as a field that holds null."""
+    from ..operators.contracts import generated_ids
+
+    return generated_ids(table(spark, d, "llm_children_100k_asr_complete", "seq", "id", "text", "lang_type", "length_type", "scenario", "subscene", "task_id")).select("seq", "id", "text_id")
+
+
+@query()
+def adult_text_ids(spark: SparkSession, d: str) -> DataFrame:
+    """The same with the adult generator's fields (H20), over every row as if it were that generator's."""
+    from ..operators.contracts import adult_ids
+
+    return adult_ids(table(spark, d, "llm_children_100k_asr_complete", "seq", "id", "text", "lang_type", "scenario", "task_id")).select("seq", "id", "text_id")
+
+
 @query(f"SELECT dataset_of_path AS dataset, count(*) AS n, count(*) FILTER (moved LIKE '/archive/%') AS moved, count(*) FILTER (dataset_of_path = named) AS agree FROM (SELECT CASE WHEN starts_with(wav, '/corpus/cloned/') THEN split_part(wav, '/', 4) ELSE 'unknown' END AS dataset_of_path, CASE WHEN starts_with(wav, '/corpus') THEN '/archive' || substr(wav, 8) ELSE wav END AS moved, {_FOLD} AS named FROM eval) GROUP BY 1")
 def path_columns(spark: SparkSession, d: str) -> DataFrame:
     """Dataset from path and rewritten path prefixes."""
