@@ -44,26 +44,44 @@ def running_error_rate(evals: DataFrame) -> DataFrame:
     return ok.groupBy(F.regexp_replace(F.lower(F.trim("dataset")), "-", "_").alias("dataset")).agg(F.sum(F.col("substitutions") + F.col("insertions") + F.col("deletions")).alias("operations"), F.sum("reference_chars").alias("characters"))
 
 
+def first_forms(rows: DataFrame) -> DataFrame:
+    """Rows (k, q, c, f) whose form f no row before them had, in any context; of those that come together the one of least q. State: the forms."""
+
+    def least(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best: dict[str, tuple] = {}
+        for pdf in frames:
+            for k, q, c, f in pdf[["k", "q", "c", "f"]].itertuples(index=False):
+                if f not in best or q < best[f][1]:
+                    best[f] = (k, q, c, f)
+        yield pd.DataFrame(list(best.values()), columns=["k", "q", "c", "f"])
+
+    # dropDuplicates keeps any row of those that come together, so only one of each form may reach it
+    return rows.repartition("f").mapInPandas(least, rows.schema).dropDuplicates(["f"])
+
+
 def near_duplicates(texts: DataFrame, key: str, text: str, seq: str, most_kept: int | None = None) -> DataFrame:
-    """Rows that pass the incremental near-duplicate filter, with the kept forms of each context as state. most_kept bounds the state to the last kept forms of a context; None keeps all."""
-    rows = texts.select(F.col(key).cast("string").alias("k"), F.col(seq).cast("bigint").alias("q"), context_key(*CONTEXT).alias("c"), t.dedup_form(text).alias("f"))
+    """Rows that pass the incremental near-duplicate filter: the first of each form over all contexts, then, inside a context, those near none that was kept (its kept forms are the state). Rows of empty form all pass.
+
+    Rows that come together are decided in order of seq, so a run over all rows at once gives what dedup.incremental gives; later rows are decided after all that came
+    before. most_kept bounds the state to the last kept forms of a context; None keeps all.
+    """
+    rows = texts.select(F.col(key).cast("string").alias("k"), F.col(seq).cast("bigint").alias("q"), context_key(*CONTEXT).alias("c"), F.coalesce(t.dedup_form(text), F.lit("")).alias("f"))
 
     def step(_: Any, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         kept = [(f, shingle_set(f)) for f in (state.get[0] if state.exists else [])]
         out = []
-        for pdf in frames:
-            for k, q, f in pdf.sort_values("q")[["k", "q", "f"]].itertuples(index=False):
-                s = shingle_set(f)
-                if f and any(f == g or near(f, g, s, u) for g, u in kept):
-                    continue
-                if f:
-                    kept.append((f, s))
-                out.append((k, q))
+        for k, q, f in pd.concat(list(frames)).sort_values("q")[["k", "q", "f"]].itertuples(index=False):  # a context comes in many frames, in no order
+            s = shingle_set(f)
+            if any(near(f, g, s, u) for g, u in kept):
+                continue
+            kept.append((f, s))
+            out.append((k, q))
         forms = [f for f, _ in kept]
         state.update((forms[-most_kept:] if most_kept else forms,))
         yield pd.DataFrame(out, columns=["k", "q"])
 
-    return rows.groupBy("c").applyInPandasWithState(step, "k string, q bigint", "forms array<string>", "append", GroupStateTimeout.NoTimeout)
+    passed = first_forms(rows.where("f <> ''")).groupBy("c").applyInPandasWithState(step, "k string, q bigint", "forms array<string>", "append", GroupStateTimeout.NoTimeout)
+    return passed.unionByName(rows.where("f = ''").select("k", "q"))
 
 
 def drained(stream: DataFrame, folder: str, mode: str = "append") -> DataFrame:
