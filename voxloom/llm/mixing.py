@@ -2,8 +2,9 @@
 
 Tokens are counted per cell of source, language and topic. The cells' weights (mean copies per document) are raked to the source
 targets, and to language and topic marginals, in turns that end with the sources; a cell's weight never exceeds the cap of its
-source. A source whose cap times its tokens is less than its target can't be filled: it stays at the cap and is reported. Documents
-are then drawn with calibrated probabilities: the whole part of the weight as sure copies, one more if a hash of the id falls below
+source. The last step of a turn gives each source exactly its target (what capped cells leave goes to the others of the source), so
+language and topic come as near to their marginals as sources and caps let them; marginals() sets the reached shares beside those asked
+for. A source whose cap times its tokens is less than its target can't be filled: it stays at the cap and is reported. Documents are then drawn with calibrated probabilities: the whole part of the weight as sure copies, one more if a hash of the id falls below
 the rest.
 
 Sources are compared after trimming, lower-casing and reading - as _; each id counts once; null ids, and sources that no target
@@ -22,6 +23,31 @@ from .tokens import VOCABULARY, count_tokens
 
 MOST_LABELS = 40
 ROUNDS = 60
+CORPUS = "corpus"  # a marginal: the token shares of the whole corpus
+
+
+def _to_source(cells: dict[tuple[str, str, str], int], w: dict[tuple[str, str, str], float], want: dict[str, float], cap: dict[str, float]) -> None:
+    """Scales the weights of each source to its wanted tokens; what capped cells leave goes to its other cells, until it fits."""
+    by: dict[str, list[tuple[str, str, str]]] = {}
+    for k in cells:
+        by.setdefault(k[0], []).append(k)
+    for s, free in by.items():
+        left = want[s]
+        while free:
+            mass = sum(cells[k] * w[k] for k in free)
+            if mass <= 0:
+                break
+            f = left / mass
+            full = [k for k in free if w[k] * f >= cap[s]]
+            if not full:
+                for k in free:
+                    w[k] *= f
+                break
+            for k in full:
+                w[k] = cap[s]
+                left -= cells[k] * cap[s]
+            left, gone = max(left, 0.0), set(full)
+            free = [k for k in free if k not in gone]
 
 
 def rake(cells: dict[tuple[str, str, str], int], share: dict[str, float], cap: dict[str, float], total: int, marginals: tuple[dict[str, float] | None, dict[str, float] | None] = (None, None), rounds: int = ROUNDS) -> dict[tuple[str, str, str], float]:
@@ -40,16 +66,16 @@ def rake(cells: dict[tuple[str, str, str], int], share: dict[str, float], cap: d
         goals.append((axis, base if given is None else {x: given.get(x, 0) * sum(want.values()) for x in base}))
     for _ in range(rounds):
         worst = 0.0
-        for axis, goal in [*goals, (0, want)]:
-            for _ in range(4 if axis == 0 else 1):  # what a capped cell leaves goes to the others of its source
-                mass: dict[str, float] = {}
-                for k, n in cells.items():
-                    mass[k[axis]] = mass.get(k[axis], 0) + n * w[k]
-                for k in cells:
-                    if mass[k[axis]] > 0 and goal[k[axis]] >= 0:
-                        f = goal[k[axis]] / mass[k[axis]]
-                        worst = max(worst, abs(f - 1)) if axis else worst
-                        w[k] = min(w[k] * f, cap[k[0]])
+        for axis, goal in goals:
+            mass: dict[str, float] = {}
+            for k, n in cells.items():
+                mass[k[axis]] = mass.get(k[axis], 0) + n * w[k]
+            for k in cells:
+                if mass[k[axis]] > 0:
+                    f = goal[k[axis]] / mass[k[axis]]
+                    worst = max(worst, abs(f - 1))
+                    w[k] = min(w[k] * f, cap[k[0]])
+        _to_source(cells, w, want, cap)
         if worst < 1e-9:
             break
     return w
@@ -59,6 +85,7 @@ class Mix:
     """One corpus against one table of targets (source, target_share, max_repeats)."""
 
     def __init__(self, df: DataFrame, targets: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", language: str = "lang", topic: str = "scenario", vocabulary: str = VOCABULARY, marginals=(None, None), seed: int = 0):
+        """marginals: shares by language and by topic; CORPUS takes those of the whole corpus, None leaves them to the source targets (one factor per source)."""
         self.key, self.seed, self.targets = key, seed, targets
         label = lambda c: F.coalesce(F.regexp_extract(folded(c), "^[^_]*", 0), F.lit(""))
         rows = df.where(F.col(key).isNotNull()).select(F.col(key).alias("_k"), folded(source).alias("_s"), label(language).alias("_l"), F.coalesce(folded(topic), F.lit("")).alias("_t"), F.col(text).alias("_x"))
@@ -80,9 +107,25 @@ class Mix:
         self.tokens: dict[str, int] = {}
         for (s, _, _), n in cells.items():
             self.tokens[s] = self.tokens.get(s, 0) + n
-        self.weights = rake(cells, self.share, self.cap, self.total, marginals)
+        self.asked, self.cells = [self._shares(cells, axis) if m == CORPUS else m for axis, m in zip((1, 2), marginals)], cells
+        self.weights = rake(cells, self.share, self.cap, self.total, tuple(self.asked))
         self.table = spark.createDataFrame([(*k, float(w)) for k, w in self.weights.items()], "_s string, _l string, _t string, _w double")
 
+    @staticmethod
+    def _shares(mass: dict[tuple[str, str, str], float], axis: int) -> dict[str, float]:
+        whole, out = sum(mass.values()), {}
+        for k, n in mass.items():
+            out[k[axis]] = out.get(k[axis], 0) + n
+        return {x: n / whole if whole else 0.0 for x, n in out.items()}
+
+    def marginals(self) -> DataFrame:
+        """Each label of each axis: the corpus's share of tokens, the share asked for (null if none was), that of the mix by its weights."""
+        rows, mixed = [], {k: self.cells[k] * w for k, w in self.weights.items()}
+        for axis, name, asked in zip((1, 2), ("language", "topic"), self.asked):
+            have, got = self._shares(self.cells, axis), self._shares(mixed, axis)
+            rows += [(name, x, have.get(x, 0.0), None if asked is None else float(asked.get(x, 0.0)), got.get(x, 0.0)) for x in sorted(set(have) | set(asked or {}))]
+        return self.targets.sparkSession.createDataFrame(rows, "axis string, label string, corpus_share double, asked_share double, reached_share double").coalesce(1)
+
     def sample(self) -> DataFrame:
         """key, source, tokens and copies (at least 1) of the drawn documents."""
         u = (F.pmod(F.xxhash64(F.lit(self.seed), "_k"), F.lit(1 << 40)) / F.lit(float(1 << 40))).alias("_u")

@@ -69,9 +69,9 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _mix(spark: SparkSession, d: str):
-    from .mixing import Mix
+    from .mixing import CORPUS, Mix
 
-    return Mix(table(spark, d, "documents", "doc_id", "text", "source", "lang", "scenario"), table(spark, d, "mix_targets"))
+    return Mix(table(spark, d, "documents", "doc_id", "text", "source", "lang", "scenario"), table(spark, d, "mix_targets"), marginals=(CORPUS, CORPUS))
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
@@ -86,6 +86,10 @@ def p9_report(spark: SparkSession, d: str) -> DataFrame:
     return _mix(spark, d).report()
 
 
+def p9_marginals(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d).marginals()
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     from .language import wrong_labels
 
@@ -179,4 +183,4 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return p10_restored(spark, d).where("found").select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_ranking, p1_ranks, p2_found, p2_shares, p2_lines, p3_found, p3_languages, p3_segments, p4_found, p4_unified, p5_percentiles, p5_daily, p5_held, p6_found, p6_report, p6_sample, p7_found, p7_groups, p8_ids, p9_found, p9_sample, p9_report, p10_found, p10_restored)}
+QUERIES = {f.__name__: f for f in (p1_ranking, p1_ranks, p2_found, p2_shares, p2_lines, p3_found, p3_languages, p3_segments, p4_found, p4_unified, p5_percentiles, p5_daily, p5_held, p6_found, p6_report, p6_sample, p7_found, p7_groups, p8_ids, p9_found, p9_sample, p9_report, p9_marginals, p10_found, p10_restored)}
