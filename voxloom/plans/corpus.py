@@ -20,7 +20,7 @@ POOL = "llm_children_100k_asr_complete"
 
 @query("SELECT wav, arrived_at, levenshtein(ref_normalized, hypo_normalized) AS distance, length(hypo_normalized) - length(ref_normalized) AS surplus, length(ref_normalized) AS n, round(levenshtein(ref_normalized, hypo_normalized) / nullif(length(ref_normalized), 0), 6) AS cer FROM (SELECT DISTINCT wav, arrived_at, ref_normalized, hypo_normalized FROM eval) WHERE regexp_full_match(ref_normalized || hypo_normalized, '[\\x00-\\x7f]*')")
 def cer_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Distance, insertions minus deletions and rate by character (X16); DuckDB's levenshtein counts bytes, so the compared rows are ASCII."""
+    """Distance, insertions minus deletions and rate by character (X16); DuckDB's levenshtein counts bytes, so the compared rows are ASCII. All scored rows: cer_operations."""
     df = table(spark, d, "eval", "wav", "arrived_at", "ref_normalized", "hypo_normalized").distinct().where(F.concat("ref_normalized", "hypo_normalized").rlike(r"^\p{ASCII}*$"))
     df = df.withColumn("x", edit.char_operations("ref_normalized", "hypo_normalized"))
     dist = F.col("x.s") + F.col("x.i") + F.col("x.d")
@@ -29,14 +29,14 @@ def cer_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def cer_operations(spark: SparkSession, d: str) -> DataFrame:
-    """Substitutions, insertions, deletions and rate of every scored row (X16); the distance is checked by cer_pairs and by tests."""
+    """Substitutions, insertions, deletions and rate of every scored row (X16); cer_pairs checks the ASCII rows by SQL, tests the others. No rate for an empty reference."""
     df = spread(table(spark, d, "eval", "wav", "ref_normalized", "hypo_normalized").where("hypo_normalized is not null")).withColumn("x", edit.char_operations("ref_normalized", "hypo_normalized"))
-    return df.select("wav", "x.*")
+    return df.select("wav", "x.*", ((F.col("x.s") + F.col("x.i") + F.col("x.d")) / F.nullif(F.col("x.n"), F.lit(0))).alias("cer"))
 
 
 @query()
 def wer_operations(spark: SparkSession, d: str) -> DataFrame:
-    """The same by word."""
+    """Substitutions, insertions and deletions by word."""
     df = spread(table(spark, d, "eval", "wav", "gen_text", "asr_hypo").where("asr_hypo is not null")).withColumn("x", edit.word_operations(t.tts_text(t.untagged("gen_text")), t.tts_text("asr_hypo")))
     return df.select("wav", "x.*")
 
