@@ -26,8 +26,8 @@ def resolve_names(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def parsed_instructs(spark: SparkSession, d: str) -> DataFrame:
-    """Voice instructions read from the texts of the voice prompts."""
-    df = table(spark, d, "documents", "doc_id", "text", "source").where("source = 'voice_design_prompts'")
+    """Voice instructions read from the texts of the voice prompts, however their source is spelled."""
+    df = table(spark, d, "documents", "doc_id", "text", "source").where(F.regexp_replace(F.lower(F.trim("source")), "-", "_") == "voice_design_prompts")
     raw = F.regexp_extract("text", r"(?m)^[^:\n]{0,20}: ((?:[a-z -]+, )+[a-z -]+)", 1)
     return df.select("doc_id", vo.parsed_instruct(raw, vo.has_han("text")).alias("i")).select("doc_id", "i.*")
 
