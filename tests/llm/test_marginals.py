@@ -26,3 +26,13 @@ def test_corpus_marginals_move_weights_inside_a_source(spark):
     plain = {(r["axis"], r["label"]): r for r in mixing.Mix(df, targets).marginals().collect()}
     assert plain["language", "zh"]["reached_share"] == pytest.approx(0.05) and plain["language", "zh"]["asked_share"] is None
     assert mixing.Mix(df.limit(0), targets, marginals=(mixing.CORPUS, mixing.CORPUS)).sample().count() == 0
+
+
+def test_named_labels_are_never_folded(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_LABELS", 1)
+    langs = ["en"] * 60 + ["fr"] * 20 + ["de"] * 20
+    df = spark.createDataFrame([(i, "red green house", "a", x, None) for i, x in enumerate(langs)], "doc_id bigint, text string, source string, lang string, scenario string")
+    targets = spark.createDataFrame([("a", 1.0, 9)], "source string, target_share double, max_repeats int")
+    m = mixing.Mix(df, targets, marginals=({"fr": 0.5}, None))
+    got = {r["label"]: r["reached_share"] for r in m.marginals().collect() if r["axis"] == "language"}
+    assert got == pytest.approx({"fr": 0.5, "other": 0.5}) and all(w > 0 for w in m.weights.values())

@@ -9,7 +9,7 @@ the rest.
 
 Sources are compared after trimming, lower-casing and reading - as _; each id counts once; null ids, and sources that no target
 names, are not mixed (their tokens still count into the total); null and empty texts have no tokens. Languages and topics beyond
-the MOST_LABELS with most tokens are folded into one label, so the table of cells that the driver rakes is bounded by the number of
+the MOST_LABELS with most tokens (with given marginals: labels that they don't name) are folded into one label, so the table of cells that the driver rakes is bounded by the number of
 sources x MOST_LABELS^2.
 """
 
@@ -95,8 +95,9 @@ class Mix:
         plan = targets.where(F.col("source").isNotNull()).select(folded("source"), F.col("target_share").cast("double"), F.col("max_repeats").cast("double")).collect()  # as many as there are sources
         self.share, self.cap = {s: a or 0.0 for s, a, _ in plan}, {s: c or 0.0 for s, _, c in plan}
         tops = {}
-        for c in ("_l", "_t"):
-            tops[c] = [r[0] for r in self.docs.groupBy(c).agg(F.sum("_n").alias("n")).orderBy(F.desc("n"), c).limit(MOST_LABELS).collect()]
+        given = [self._with_rest(m) if isinstance(m, dict) else m for m in marginals]
+        for c, m in zip(("_l", "_t"), given):
+            tops[c] = list(m) if isinstance(m, dict) else [r[0] for r in self.docs.groupBy(c).agg(F.sum("_n").alias("n")).orderBy(F.desc("n"), c).limit(MOST_LABELS).collect()]
         few = lambda c: F.when(F.col(c).isin(tops[c]), F.col(c)).otherwise(F.lit("other")).alias(c)
         known = F.when(F.col("_s").isin(list(self.share)), F.col("_s"))
         self.docs = self.docs.select("_k", known.alias("_s"), few("_l"), few("_t"), "_n")
@@ -107,10 +108,15 @@ class Mix:
         self.tokens: dict[str, int] = {}
         for (s, _, _), n in cells.items():
             self.tokens[s] = self.tokens.get(s, 0) + n
-        self.asked, self.cells = [self._shares(cells, axis) if m == CORPUS else m for axis, m in zip((1, 2), marginals)], cells
+        self.asked, self.cells = [self._shares(cells, axis) if m == CORPUS else m for axis, m in zip((1, 2), given)], cells
         self.weights = rake(cells, self.share, self.cap, self.total, tuple(self.asked))
         self.table = spark.createDataFrame([(*k, float(w)) for k, w in self.weights.items()], "_s string, _l string, _t string, _w double")
 
+    @staticmethod
+    def _with_rest(given: dict[str, float]) -> dict[str, float]:
+        """The given shares, with what they leave of 1 as the share of 'other', into which labels that they don't name are folded."""
+        return given | {"other": given.get("other", 0.0) + max(0.0, 1.0 - sum(given.values()))}
+
     @staticmethod
     def _shares(mass: dict[tuple[str, str, str], float], axis: int) -> dict[str, float]:
         whole, out = sum(mass.values()), {}
