@@ -37,7 +37,7 @@ def _sampler(spark: SparkSession, d: str):
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return _sampler(spark, d).report().where("not met").select("age_tier", "length_type", "lang_type")
+    return _sampler(spark, d).unmet()
 
 
 def p6_report(spark: SparkSession, d: str) -> DataFrame:

@@ -2,11 +2,15 @@
 
 The categories form a tree (the first field at the top). The sample size is handed down from the root: every node splits its
 quota over its children in proportion to their targets, at least their minima, at most what the pool holds. What a leaf can't
-fill goes first to its siblings, then to its cousins, then up; the report shows the targets that stay unmet. Rows are drawn at
-each leaf by the dense rank of a permutation of their ids. The rank is found in two steps, so that a leaf with a third of all rows
-doesn't end in one task: counts per slice of the permutation give offsets, and only within a slice rows are ordered.
+fill goes first to its siblings, then to its cousins, then up. Rows are drawn at each leaf by the dense rank of a permutation of their
+ids. The rank is found in two steps, so that a leaf with a third of all rows doesn't end in one task: counts per slice of the
+permutation give offsets, and only within a slice rows are ordered.
 
-Rows with a null key or a null in one of the fields fill nothing; repeated keys count once (the least fields, where they differ);
+Two allocations are made over the same tree: the quotas of the sample, which sum to its size, and the claims, in which every target
+asks for its whole need (rounded up, minima included). A target is met if the draw by its claim brings as many rows as it needs.
+
+Targets that are repeated (after trimming, lower-casing and reading - as _) count once, with the larger share and minimum; those with a null
+field are left out. Rows with a null key or a null in one of the fields fill nothing; repeated keys count once (the least fields, where they differ);
 empty pools give an empty sample and every target with a need as unmet. Only counts per target (as many as there are targets) and
 per slice reach the driver.
 """
@@ -83,7 +87,12 @@ class Sampler:
         self.leaf_slices: dict[tuple[str, ...], dict[int, int]] = {}
         self.ids = 0
         rows = targets.select(*[folded(f) for f in fields], F.col(share).cast("int"), F.col(least).cast("int")).collect()  # as many as there are categories
-        self.plan = [(tuple(r[: len(fields)]), r[len(fields)] or 0, r[len(fields) + 1] or 0) for r in rows if None not in tuple(r)[: len(fields)]]
+        once: dict[tuple[str, ...], tuple[int, int]] = {}
+        for r in rows:
+            path, (a, b) = tuple(r[: len(fields)]), once.get(tuple(r[: len(fields)]), (0, 0))
+            if None not in path:
+                once[path] = max(a, r[len(fields)] or 0), max(b, r[len(fields) + 1] or 0)
+        self.plan = [(path, s, m) for path, (s, m) in once.items()]
         named = {p[0] for p in self.plan}
         # rows outside the targets are summed up before they come: the driver gets at most (targets + 1) x SLICES counts
         cells = self.rows.sparkSession.createDataFrame([(*x, True) for x in sorted(named)], ", ".join(f"_c{k} string" for k in range(len(fields))) + ", _in boolean")
@@ -96,20 +105,14 @@ class Sampler:
         self.size = self.ids // every
         self.have = {k: sum(v.values()) for k, v in self.leaf_slices.items()}
         self.quota = allocate(self.plan, self.have, self.size)
+        needs = [(p, need(s, m, self.size), 0) for p, s, m in self.plan]
+        self.claims = allocate(needs, self.have, sum(n for _, n, _ in needs))
 
-    def report(self) -> DataFrame:
-        """Each target with its need, the rows that there are, the quota drawn and whether it is met. Fields as the targets spell them."""
-        spark = self.targets.sparkSession
-        got = [(*p, need(s, m, self.size), self.have.get(p, 0), self.quota.get(p, 0)) for p, s, m in self.plan]
-        df = spark.createDataFrame(got, ", ".join(f"_c{k} string" for k in range(len(self.fields))) + ", need bigint, available bigint, drawn bigint").coalesce(1)
-        named = self.targets.select(*self.fields, *[folded(f).alias(f"_c{k}") for k, f in enumerate(self.fields)])
-        return named.join(F.broadcast(df), [f"_c{k}" for k in range(len(self.fields))]).select(*self.fields, "need", "available", "drawn", (F.col("available") >= F.col("need")).alias("met"))
-
-    def sample(self) -> DataFrame:
-        """The drawn keys with their (folded) fields."""
+    def _drawn(self, quota: dict[tuple[str, ...], int]) -> DataFrame:
+        """The rows of each leaf whose dense rank in the permutation is within its quota."""
         spark, names = self.targets.sparkSession, [f"_c{k}" for k in range(len(self.fields))]
         take = []
-        for leaf, n in self.quota.items():
+        for leaf, n in quota.items():
             before = 0
             for s in sorted(self.leaf_slices.get(leaf, {})):
                 if before >= n:
@@ -118,5 +121,33 @@ class Sampler:
                 before += self.leaf_slices[leaf][s]
         cut = spark.createDataFrame(take, ", ".join(f"{c} string" for c in names) + ", _slice int, _most int")
         w = W.partitionBy(*names, "_slice").orderBy("_h", "_k")
-        out = self.rows.join(F.broadcast(cut), [*names, "_slice"]).withColumn("_r", F.dense_rank().over(w)).where("_r <= _most")
-        return out.select(F.col("_k").alias(self.key), *[F.col(c).alias(f) for c, f in zip(names, self.fields)])
+        return self.rows.join(F.broadcast(cut), [*names, "_slice"]).withColumn("_r", F.dense_rank().over(w)).where("_r <= _most")
+
+    def _counted(self, quota: dict[tuple[str, ...], int], name: str) -> DataFrame:
+        """Rows drawn per leaf."""
+        leaf = [f"_c{k}" for k in range(len(self.fields))]
+        return self._drawn(quota).groupBy(*leaf).agg(F.count("*").alias(name))
+
+    def _named(self) -> DataFrame:
+        """The targets as they are spelled, beside their folded fields."""
+        return self.targets.select(*self.fields, *[folded(f).alias(f"_c{k}") for k, f in enumerate(self.fields)])
+
+    def _asked(self) -> DataFrame:
+        rows = [(*p, need(s, m, self.size), self.have.get(p, 0), self.quota.get(p, 0), self.claims.get(p, 0)) for p, s, m in self.plan]
+        return self.targets.sparkSession.createDataFrame(rows, ", ".join(f"_c{k} string" for k in range(len(self.fields))) + ", need bigint, available bigint, quota bigint, claim bigint").coalesce(1)
+
+    def unmet(self) -> DataFrame:
+        """The targets, as they are spelled, for which the draw by their claims brings fewer rows than they need."""
+        leaf = [f"_c{k}" for k in range(len(self.fields))]
+        short = self._asked().join(F.broadcast(self._counted(self.claims, "got")), leaf, "left").where(F.coalesce("got", F.lit(0)) < F.col("need"))
+        return self._named().join(F.broadcast(short.select(*leaf)), leaf, "left_semi").select(*self.fields)
+
+    def report(self) -> DataFrame:
+        """Each target as it is spelled: its need, the rows that there are, the quota of the sample, the rows drawn for it, and whether the draw by its claim meets the need. Quota beyond the need came from siblings or cousins that can't be filled."""
+        leaf = [f"_c{k}" for k in range(len(self.fields))]
+        got = self._asked().join(F.broadcast(self._counted(self.claims, "got")), leaf, "left").join(F.broadcast(self._counted(self.quota, "drawn")), leaf, "left")
+        return self._named().join(F.broadcast(got), leaf).select(*self.fields, "need", "available", "quota", F.coalesce("drawn", F.lit(0)).alias("drawn"), (F.coalesce("got", F.lit(0)) >= F.col("need")).alias("met"))
+
+    def sample(self) -> DataFrame:
+        """The drawn keys with their (folded) fields."""
+        return self._drawn(self.quota).select(F.col("_k").alias(self.key), *[F.col(f"_c{k}").alias(f) for k, f in enumerate(self.fields)])
