@@ -54,10 +54,39 @@ def test_ranking_edge_cases(spark):
     assert {r["position"] for r in ranking.rank_items(df, "k", {"a": 1, "b": 1}).collect()} == {1}  # constant scores: all tie
 
 
-def test_latest_scores(spark):
-    df = spark.createDataFrame([("w", 1, 0.1), ("w", 2, 0.2), ("w", 3, float("nan")), ("v", 1, None), (None, 1, 0.3)], "k string, at int, s double")
-    got = {r["_key"]: r["x"] for r in ranking.latest(df, "k", F.col("s"), "at", "x").collect()}
-    assert got == {"w": 0.2, "v": None}
+def test_clip_scores_take_the_latest_usable_row(spark):
+    a = spark.createDataFrame([("w", 1, 0.1), ("w", 2, 0.2), ("w", 3, float("nan")), ("v", 1, None), (None, 1, 0.3)], "wav string, arrived_at int, cer double")
+    b = spark.createDataFrame([("w", 1, 0.5, 1), ("u", 1, 0.5, 2), ("u", 1, 0.6, 2)], "cloned_audio string, arrived_at int, similarity double, score_version int")
+    c = spark.createDataFrame([("t", None, 3.0), ("t", 1, 2.0)], "cloned_audio string, arrived_at int, utmos double")
+    got = {r["wav"]: tuple(r)[1:] for r in ranking.clip_scores(a, b, c).collect()}
+    assert got == {"w": (0.2, 0.0, None), "v": (None, None, None), "u": (None, 0.6, None), "t": (None, None, 2.0)}
+
+
+@pytest.mark.parametrize("ranges", [(2, 2), (16, 16), (200, 200)])
+def test_ranks_by_any_number_of_ranges(spark, monkeypatch, ranges):
+    monkeypatch.setattr(ranking, "RANGES", ranges)
+    rnd = random.Random(12)
+    rows = [(i, rnd.choice([0.0, -0.0, 0.0, 5.0, None, rnd.random(), float("inf")])) for i in range(900)] + [(None, 0.5)]
+    df = spark.createDataFrame(rows, "k int, a double")
+    vals = sorted(x + 0.0 for k, x in rows if k is not None and x is not None and x < 9)
+    for method in ("average", "min"):
+        got = {r["k"]: r["r_a"] for r in ranking.ranked(df, "k", ["a"], method).collect()}
+        for k, x in rows[:-1]:
+            lo, hi = (bisect.bisect_left(vals, x), bisect.bisect_right(vals, x)) if x is not None and x < 9 else (None, None)
+            assert got.pop(k) == (None if lo is None else lo + 1 if method == "min" else (lo + 1 + hi) / 2)
+        assert not got
+
+
+def test_no_loading_points_against_its_direction(spark):
+    rnd = random.Random(13)
+    rows = [(i, rnd.random(), (q := rnd.random()), q + rnd.random() / 3) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k int, noise double, a double, b double")
+    for d in (1, -1):
+        dirs = {"noise": d, "a": 1, "b": 1}
+        load = {r["score"]: r["loading"] for r in ranking.loadings(df, "k", dirs).collect()}
+        assert 0 <= load["noise"] < 0.2 and load["a"] == pytest.approx(load["b"], abs=0.05) and sum(v * v for v in load.values()) == pytest.approx(1)
+    bare = ranking.loadings(df.select("k", "a", (-F.col("b")).alias("b")), "k", {"a": 1, "b": -1}).collect()
+    assert [r["loading"] for r in bare] == pytest.approx([2**-0.5] * 2)
 
 
 # ---- problem 5

@@ -73,7 +73,17 @@ def _look(c: str) -> str:
     return f"nfc_normalize(translate(nfc_normalize({bare}), '{a}', '{b}'))"
 
 
+_LOADINGS = (
+    _CLIPS.replace("WITH c AS", "WITH RECURSIVE c AS", 1)
+    + f""", q AS (SELECT {_rank('cer')}, {_rank('similarity')}, {_rank('utmos')} FROM c),
+m AS (SELECT -corr(r_cer, r_similarity) AS ab, -corr(r_cer, r_utmos) AS ac, corr(r_similarity, r_utmos) AS bc FROM q),
+p(k, a, b, c) AS (SELECT 0, 0.5::DOUBLE, 0.6::DOUBLE, 0.7::DOUBLE UNION ALL SELECT k + 1, x / sqrt(x * x + y * y + z * z), y / sqrt(x * x + y * y + z * z), z / sqrt(x * x + y * y + z * z)
+FROM (SELECT k, a + ab * b + ac * c AS x, ab * a + b + bc * c AS y, ac * a + bc * b + c AS z FROM p, m) WHERE k < 500)
+SELECT score, round(abs(CASE score WHEN 'cer' THEN a WHEN 'similarity' THEN b ELSE c END), 5) AS loading FROM p, (SELECT unnest(['cer', 'similarity', 'utmos']) AS score) WHERE k = 500"""
+)
+
 ORACLES = {
+    "p1_loadings": _LOADINGS,
     "p1_ranks": _CLIPS + f"SELECT wav, {_rank('cer')}, {_rank('similarity')}, {_rank('utmos')} FROM c",
     "p4_found": f"SELECT DISTINCT wav FROM eval WHERE wav IS NOT NULL AND gen_text <> asr_hypo AND {_look('gen_text')} = {_look('asr_hypo')}",
     "p5_held": _SCORES + """, n AS (SELECT metric, coalesce(dataset, '') AS dataset, count(*) AS n FROM s WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY ALL)

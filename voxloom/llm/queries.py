@@ -173,6 +173,13 @@ def p1_ranks(spark: SparkSession, d: str) -> DataFrame:
     return average_ranks(written(_clips(spark, d)), "wav", ["cer", "similarity", "utmos"])
 
 
+def p1_loadings(spark: SparkSession, d: str) -> DataFrame:
+    from .common import written
+    from .ranking import loadings
+
+    return loadings(written(_clips(spark, d)), "wav", {"cer": -1, "similarity": 1, "utmos": 1}).select("score", F.round("loading", 5).alias("loading"))
+
+
 def p10_restored(spark: SparkSession, d: str) -> DataFrame:
     from .encoding import restored
 
@@ -183,4 +190,4 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return p10_restored(spark, d).where("found").select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_ranking, p1_ranks, p2_found, p2_shares, p2_lines, p3_found, p3_languages, p3_segments, p4_found, p4_unified, p5_percentiles, p5_daily, p5_held, p6_found, p6_report, p6_sample, p7_found, p7_groups, p8_ids, p9_found, p9_sample, p9_report, p9_marginals, p10_found, p10_restored)}
+QUERIES = {f.__name__: f for f in (p1_ranking, p1_ranks, p1_loadings, p2_found, p2_shares, p2_lines, p3_found, p3_languages, p3_segments, p4_found, p4_unified, p5_percentiles, p5_daily, p5_held, p6_found, p6_report, p6_sample, p7_found, p7_groups, p8_ids, p9_found, p9_sample, p9_report, p9_marginals, p10_found, p10_restored)}
