@@ -187,8 +187,7 @@ CLEAN = ["The café was full of naïve visitors — “really,” said José.",
 @pytest.fixture(scope="module")
 def model(spark):
     df = spark.createDataFrame([(t,) for t in CLEAN * 40], "text string")
-    m = encoding.train(df, "text")
-    return m, encoding.validate(df, "text", m)
+    return encoding.train(df, "text"), encoding.BASE
 
 
 @pytest.mark.parametrize("read, wrote", [("cp1252", "utf-8"), ("mac_roman", "utf-8"), ("cp1251", "utf-8"), ("cp437", "utf-8"), ("gb18030", "utf-8"), ("cp1252", "gb18030"), ("big5", "gb18030")])
@@ -204,7 +203,7 @@ def test_round_trip(model, read, wrote):
             continue
         if bad == t or wrote == "gb18030" and not any("一" <= c <= "鿿" for c in t) or any("ぁ" <= c <= "ん" for c in t) and wrote != "utf-8":
             continue
-        u, found = encoding.repair(bad, m, margins)
+        u, found, _ = encoding.repair(bad, m, margins)
         assert found, (t, bad)
         done += u == t
     assert done >= 1
@@ -213,7 +212,7 @@ def test_round_trip(model, read, wrote):
 def test_clean_texts_stay(model):
     m, margins = model
     for t in CLEAN + ["½ + ¼ = ¾", "SÃO JOÃO, ÂNCORA.", "Жили-были кот и лиса.", "It cost €38 at 17 °C.", "Smörgås på bordet."]:
-        assert encoding.repair(t, m, margins) == (t, [])
+        assert encoding.repair(t, m, margins)[:2] == (t, [])
 
 
 def test_restored(spark):

@@ -3,16 +3,22 @@
 Clean lines of the corpus train a smoothed model of character pairs. Every run of non-ASCII characters (with the ASCII bytes that
 two-byte encodings put between them) is encoded by each encoding that may have been read wrongly and decoded by each that the text
 may have been written in, up to twice; the run and its candidates are scored, each as the mean log probability of its pairs with
-its neighbours, and the likeliest chain is accepted if it gains more than the margin. Margins are validated on clean lines of
-VALIDATE_ROWS rows: all but FALSE of their runs stay below, whatever the chain (BASE at least).
+its neighbours, and the likeliest chain is accepted if it gains more than the margin.
+
+Margins are validated over all documents: a first pass accepts by the least margins (BASE) and counts the gains of accepted runs that
+stand in clean lines; the margins are raised until at most a share FALSE of all runs is such a gain. Whatever a higher margin accepts a
+lower one has accepted too, so the second pass only looks at the documents that the first one found. Two prunings change no result: a
+run that scores better than minus the margin can only be beaten by chains that end in UTF-8 (which have a margin of their own), and a
+run whose characters an encoding lacks isn't encoded.
 
 Lines are clean if they hold nothing that garbling typically leaves (controls, replacement and box characters, chains of accented
-letters, rare Chinese characters); pairs are counted over all clean lines, the MOST_PAIRS most frequent (and MOST_CHARS single
-characters) make up the model, the only thing that is broadcast.
+letters, rare Chinese characters). All pairs of all clean lines are counted, in HASHES x 2^COUNTERS counters (a pair counts as the
+least of its counters), which is all that is broadcast beside the counts of single characters (bounded by Unicode): the size of the model
+doesn't depend on that of the corpus, and no pair is left out.
 
-A document is found if a chain is accepted for one of its runs, or if it holds a replacement character (U+FFFD) or a run that only
-decodes where lost characters are skipped. Null, empty and plain ASCII texts are no cases; restored is null where nothing changed;
-repeated rows each give a row.
+A document is found if a chain is accepted for one of its runs. TESTDATA.md counts lost characters as cases too, so it is also found, outside
+the margin, if it holds a replacement character (U+FFFD), or a run that decodes to UTF-8 except for lost characters; those are marked
+lost. Null, empty and plain ASCII texts are no cases; restored is null where nothing changed; repeated rows each give a row.
 """
 
 from __future__ import annotations
@@ -20,21 +26,21 @@ from __future__ import annotations
 import math
 import re
 import uuid
-from collections import Counter
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_rows, spread, written
 
-MOST_PAIRS = 150_000
-MOST_CHARS = 12_000
+COUNTERS = 20  # bits
+HASHES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 BASE = (0.0, 7.5)  # least gain, natural log a pair, of chains that end in UTF-8 and of others
 FALSE = 0.002
-VALIDATE_ROWS = 2000
+BINS = 100  # of gains, a unit
 SUSPECT = -10.0  # mean log probability below which a run is tried in smaller pieces too
 
 #: Encodings that a text may have been read in by mistake; those of one byte a character are read leniently.
@@ -59,14 +65,20 @@ def _bytes_of(encoding: str) -> dict[str, int]:
     return out
 
 
+@cache
+def _as_latin(encoding: str) -> dict[int, int]:
+    """For str.translate: each character to the one of its byte's number; upper characters that the encoding lacks go beyond a byte."""
+    return {b: 0x100 for b in range(128, 256)} | {ord(c): b for c, b in _bytes_of(encoding).items()}
+
+
 RUN = re.compile(r"[^\x00-\x7f](?:[\x40-\x7e]?[^\x00-\x7f]+)*[\x40-\x7e]?")
 PIECE = re.compile(r"[\u2e80-\uffff]+|[\x80-\u2e7f]+")
 CLAUSE = re.compile(r"[^。！？，、；：“”]+")
 BARE = re.compile(r"[^\x00-\x7f]+")
+_ASCII = re.compile(r"[\x00-\x7f]")
 _ODD = re.compile(r"[\x80-\x9f�-─-◿]|[¡-¿À-ɏ€‚ƒ„†‡ˆ‰‹›œ˜™š]{2,}|[√≠∞±≤≥∂∑∏π∫Ω¬ƒ≈∆«»◊]|[Ѐ-Яѐ-ӿ][^\W\d_А-я]|[Ђ-Џђ-џ]")
 
 
-@cache
 def common(c: str) -> bool:
     """Han characters of the first levels of the Chinese and Japanese standards."""
     try:
@@ -81,17 +93,30 @@ def common(c: str) -> bool:
         return False
 
 
+@cache
+def _strange() -> re.Pattern:
+    """What a clean line doesn't hold."""
+    rare = "".join(c for c in map(chr, range(0x3400, 0xA000)) if not common(c))
+    return re.compile(rf"{_ODD.pattern}|[\uff66-\uff9f\ufe30-\ufe4f\u3100-\u312f\ue000-\uf8ff{rare}]")
+
+
 def is_clean(line: str) -> bool:
-    if line.isascii():
-        return True
-    return not _ODD.search(line) and all(common(c) for c in line if "㐀" <= c <= "鿿") and not re.search(r"[\uff66-\uff9f\ufe30-\ufe4f\u3100-\u312f\ue000-\uf8ff]", line)
+    return line.isascii() or not _strange().search(line)
+
+
+def _slots(a, b) -> list:
+    """The counter of a pair of code points in each row of counters; for arrays or plain integers."""
+    if isinstance(a, np.ndarray):
+        x = a.astype(np.uint64) << np.uint64(21) | b.astype(np.uint64)
+        return [(x * np.uint64(h) >> np.uint64(64 - COUNTERS)).astype(np.int64) for h in HASHES]
+    return [((a << 21 | b) * h & 0xFFFFFFFFFFFFFFFF) >> (64 - COUNTERS) for h in HASHES]
 
 
 class Model:
     """Interpolated probabilities of character pairs."""
 
-    def __init__(self, pairs: dict[str, int], chars: dict[str, int]):
-        self.pairs, self.chars = pairs, chars
+    def __init__(self, counters: list[np.ndarray], chars: dict[str, int]):
+        self.counters, self.chars = counters, chars
         self.total = sum(chars.values()) + 1
         self.known: dict[str, float] = {}
 
@@ -101,7 +126,8 @@ class Model:
             a, b = ab
             one = (self.chars.get(b, 0) + 0.02) / (self.total + 0.02 * 70_000)
             n = self.chars.get(a, 0)
-            got = math.log(0.75 * self.pairs.get(ab, 0) / n + 0.25 * one) if n else math.log(one * 0.5)
+            both = min(float(c[k]) for c, k in zip(self.counters, _slots(ord(a), ord(b)))) if n and b in self.chars else 0.0
+            got = math.log(0.75 * min(1.0, both / n) + 0.25 * one) if n else math.log(one * 0.5)
             if len(self.known) > 500_000:
                 self.known.clear()
             self.known[ab] = got
@@ -116,16 +142,16 @@ class Model:
         return sum(pair(t[i : i + 2]) for i in range(len(t) - 1)) / (len(t) - 1)
 
 
+#: A character that no one-byte encoding has.
+_WIDE = re.compile(r"[\u2e80-\uf8fe\uff00-\uffff\U00010000-\U0010ffff]")
+#: What no accepted text holds: controls other than white space, private characters.
+_BARRED = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\ue000-\uf8ff]")
+
+
 def encoded(s: str, encoding: str) -> bytes | None:
     """Bytes of a run as it was read in encoding; None if it can't have been."""
-    if encoding in SINGLE:
-        table = _bytes_of(encoding)
-        try:
-            return bytes(table[c] if c > "\x7f" else ord(c) for c in s)
-        except KeyError:
-            return None
     try:
-        return s.encode(encoding)
+        return s.translate(_as_latin(encoding)).encode("latin-1") if encoding in SINGLE else s.encode(encoding)
     except UnicodeEncodeError:
         return None
 
@@ -137,24 +163,23 @@ def decoded(b: bytes, encoding: str) -> str | None:
         return None
 
 
-def candidates(s: str) -> Iterator[tuple[str, str]]:
-    """(chain, text) of every chain that gives another text, up to two steps. A single character is only changed by UTF-8, whose decoding proves itself."""
+def candidates(s: str, sure: bool = False) -> Iterator[tuple[str, str]]:
+    """(chain, text) of every chain that gives another text, up to two steps; sure: only of those that end in UTF-8. A single character is only changed by UTF-8, whose decoding proves itself."""
     seen = {s}
     level = [("", s)]
     for _ in range(2):
         nxt = []
         for chain, t in level:
-            for wrong in (*SINGLE, *DOUBLE):
+            rights = WRITTEN[:1] if sure or len(t) - len(_ASCII.findall(t)) < 2 else WRITTEN
+            for wrong in DOUBLE if _WIDE.search(t) else (*SINGLE, *DOUBLE):
                 b = encoded(t, wrong)
                 if b is None:
                     continue
-                for right in WRITTEN:
+                for right in rights:
                     if right == wrong:
                         continue
-                    if right != "utf-8" and sum(c > "\x7f" for c in t) < 2:
-                        continue
                     u = decoded(b, right)
-                    if u is None or u in seen or not u or any(c < " " and c not in "\t\n\r" or "" <= c <= "" for c in u):
+                    if not u or u in seen or _BARRED.search(u):
                         continue
                     seen.add(u)
                     step = f"{chain}{'>' if chain else ''}{wrong}:{right}"
@@ -178,18 +203,17 @@ def lost(s: str, before: str, after: str, model: Model, margin: float) -> tuple[
     return None
 
 
-@cache
-def _tried(s: str) -> tuple[tuple[str, str], ...]:
-    return tuple(candidates(s))
+@lru_cache(100_000)
+def _tried(s: str, sure: bool) -> tuple[tuple[str, str], ...]:
+    return tuple(candidates(s, sure))
 
 
 def best(s: str, before: str, after: str, model: Model, margins: tuple[float, float]) -> tuple[str, str, float] | None:
     """The likeliest accepted chain of a run: (chain, text, gain). margins: of chains that end in UTF-8, of others."""
-    own, top = None, None
-    for chain, u in _tried(s) if len(s) <= 4 else candidates(s):
+    own, top = model.score(before, s, after), None
+    only_sure = -own <= margins[1]  # no score is above 0, so no gain above -own
+    for chain, u in _tried(s, only_sure) if len(s) <= 8 else candidates(s, only_sure):
         sure = chain.endswith(":utf-8")
-        if own is None:
-            own = model.score(before, s, after)
         gain = model.score(before, u, after) - own + (20.0 if "\ufffd" in u and sure else 0.0)
         if gain > margins[0 if sure else 1] and (top is None or gain > top[2]):
             top = (chain, u, gain)
@@ -226,10 +250,11 @@ def _spans(text: str, lo: int, hi: int, model: Model) -> Iterator[list[tuple[int
             yield cut
 
 
-def repair(text: str, model: Model, margins: tuple[float, float]) -> tuple[str, list[tuple[str, str, str, float]]]:
-    """The restored text and (run, chain, restored, gain) of each accepted run. A run that no chain explains is tried again in its pieces."""
-    out, at, found = [], 0, []
+def repair(text: str, model: Model, margins: tuple[float, float]) -> tuple[str, list[tuple[str, str, str, float, int]], int]:
+    """The restored text, (run, chain, restored, gain, place) of each accepted run, and the number of runs. A run that no chain explains is tried again in its pieces."""
+    out, at, found, n = [], 0, [], 0
     for m in RUN.finditer(text):
+        n += 1
         lo, s = m.start(), m[0]
         got: list = []
         for group in _spans(text, lo, m.end(), model):
@@ -247,79 +272,97 @@ def repair(text: str, model: Model, margins: tuple[float, float]) -> tuple[str,
         for i, j, x in got:
             out += [text[at:i], x[2]]
             at = j
-            found.append(x)
+            found.append((*x, i))
     out.append(text[at:])
-    return "".join(out), found
+    return "".join(out), found, n
 
 
 def train(df: DataFrame, text: str) -> Model:
     """Counts pairs and characters of all clean lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count: Counter[str] = Counter()
-
-        def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], names=["gram", "n"])
-
+        rows = [np.zeros(1 << COUNTERS, np.int64) for _ in HASHES]
+        chars = np.zeros(0x110000, np.int64)
         for b in batches:
-            for t in b.column(0).to_pylist():
-                for line in t.split("\n") if t else ():
-                    if is_clean(line):
-                        s = f"\n{line}\n"
-                        count.update(map("".join, zip(s, s[1:])))
-                        count.update(s)
-            if len(count) > 500_000:
-                yield rows()
-                count.clear()
-        if count:
-            yield rows()
-
-    grams = spread(df.select(text)).mapInArrow(run, "gram string, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
-    top = lambda k, most: dict(map(tuple, grams.where(F.char_length("gram") == k).orderBy(F.desc("n"), "gram").limit(most).collect()))
-    grams = written(grams)
-    return Model(top(2, MOST_PAIRS), top(1, MOST_CHARS))
-
-
-def validate(df: DataFrame, text: str, model: Model, rows: int = VALIDATE_ROWS) -> tuple[float, float]:
-    """Margins (chains that end in UTF-8, others): the gain that all but FALSE of the runs of clean lines stay under, BASE at least. From the rows with the least hashes."""
-    sample = df.where(F.col(text).isNotNull()).select(text).orderBy(F.xxhash64(text), text).limit(rows).collect()  # bounded by rows
-    gains: tuple[list[float], list[float]] = ([], [])
-    n = 0
-    for (t,) in sample:
-        for line in t.split("\n"):
-            if line.isascii() or not is_clean(line):
-                continue
-            for m in BARE.finditer(line):
-                n += 1
-                before, after, own = line[max(0, m.start() - 1) : m.start()], line[m.end() : m.end() + 1], None
-                for chain, u in candidates(m[0]):
-                    sure = chain.endswith(":utf-8")
-                    own = model.score(before, m[0], after) if own is None else own
-                    gains[0 if sure else 1].append(model.score(before, u, after) - own)
-    return tuple(max(base, sorted(g)[-1 - int(n * FALSE)] if len(g) > int(n * FALSE) else base) for g, base in zip(gains, BASE))
+            strange = _strange()
+            clean = [line for t in b.column(0).to_pylist() if t for line in t.split("\n") if line.isascii() or not strange.search(line)]
+            codes = np.frombuffer(("\n" + "\n".join(clean) + "\n").encode("utf-32-le"), np.uint32)
+            used, n = np.unique(codes, return_counts=True)
+            chars[used] += n
+            for row, slots in zip(rows, _slots(codes[:-1], codes[1:])):
+                slots, n = np.unique(slots, return_counts=True)
+                row[slots] += n
+        for k, counts in enumerate([*rows, chars]):
+            at = np.flatnonzero(counts)
+            for lo in range(0, len(at), 100_000):
+                part = at[lo : lo + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), k, np.int32)), pa.array(part.astype(np.int32)), pa.array(counts[part])], names=["row", "slot", "n"])
+
+    got = spread(df.select(text)).mapInArrow(run, "row int, slot int, n bigint").groupBy("row", "slot").agg(F.sum("n").alias("n")).toPandas()  # at most HASHES x 2^COUNTERS rows and one per character
+    counters = [np.zeros(1 << COUNTERS, np.float32) for _ in HASHES]
+    for k, row in enumerate(counters):
+        mine = got[got["row"] == k]
+        row[mine["slot"].to_numpy()] = mine["n"].to_numpy()
+    mine = got[got["row"] == len(HASHES)]
+    return Model(counters, {chr(c): n for c, n in zip(mine["slot"].tolist(), mine["n"].tolist())})
+
+
+def raised(gains: list[tuple[bool, int, int]], runs: int) -> tuple[float, float]:
+    """Margins from the (sure, bin, count) of gains in clean lines: BASE, or where at most a share FALSE of all runs gains more."""
+    out = []
+    for sure, base in zip((True, False), BASE):
+        above, margin = 0, base
+        for _, b, n in sorted((g for g in gains if g[0] == sure), reverse=True):
+            above += n
+            if above > runs * FALSE:
+                margin = max(base, (b + 1) / BINS)
+                break
+        out.append(margin)
+    return out[0], out[1]
 
 
 def restored(df: DataFrame, key: str, text: str) -> DataFrame:
     """key, found, lost (characters are gone), runs (accepted), chains (distinct, sorted), restored (null where nothing changed) of every row."""
     model = train(df.select(text), text)
-    margins = validate(df.select(text), text, model)
-    sent = df.sparkSession.sparkContext.broadcast((model.pairs, model.chars))
+    sent = df.sparkSession.sparkContext.broadcast((model.counters, model.chars))
     name = uuid.uuid4().hex
+    kind = df.schema[key].dataType.simpleString()
+    result = "found boolean, lost boolean, runs int, chains array<string>, restored string"
+
+    def tried(t: str, m: Model, margins: tuple[float, float]) -> tuple:
+        u, found, n = repair(t, m, margins)
+        gone = "\ufffd" in u
+        return (bool(found) or gone, gone, len(found), sorted({x[1] for x in found}), u if found else None), found, n
 
-    def make():
+    def first():
         m = _model(name, sent)
 
         def row(k, t):
             if t is None or t.isascii():
-                return [(k, False, False, 0, [], None)]
-            u, found = repair(t, m, margins)
-            gone = "\ufffd" in u
-            return [(k, bool(found) or gone, gone, len(found), sorted({x[1] for x in found}), u if found else None)]
+                return [(k, False, False, 0, [], None, None, 0, [])]
+            got, found, n = tried(t, m, BASE)
+            gains = []
+            for _, chain, _, gain, at in found:
+                line = t[t.rfind("\n", 0, at) + 1 : (t.find("\n", at) + 1 or len(t) + 1) - 1]
+                if is_clean(line):
+                    gains.append((chain.endswith(":utf-8"), int(gain * BINS)))
+            return [(k, *got, t if got[0] else None, n, gains)]
 
         return row
 
-    kind = df.schema[key].dataType.simpleString()
-    return map_rows(spread(df.select(key, text)), make, f"`{key}` {kind}, found boolean, lost boolean, runs int, chains array<string>, restored string")
+    once = written(map_rows(spread(df.select(key, text)), first, f"`{key}` {kind}, {result}, _t string, _n int, _g array<struct<sure: boolean, bin: int>>"))
+    runs = once.agg(F.sum("_n")).first()[0] or 0
+    gains = [tuple(r) for r in once.select(F.explode("_g").alias("g")).groupBy("g.sure", "g.bin").agg(F.count("*")).collect()]  # BINS a unit of log probability
+    margins = raised(gains, runs)
+    if margins == BASE:
+        return once.drop("_t", "_n", "_g")
+
+    def second():
+        m = _model(name, sent)
+        return lambda k, t: [(k, *tried(t, m, margins)[0])]
+
+    kept = map_rows(spread(once.where("found").select(key, "_t")), second, f"`{key}` {kind}, {result}")
+    return once.where("not found").drop("_t", "_n", "_g").unionByName(kept)
 
 
 _MODELS: dict[str, Model] = {}
