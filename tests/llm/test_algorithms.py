@@ -200,6 +200,23 @@ def test_hot_elements_are_split(spark):
     assert {tuple(sorted(r[:2])) for r in again.collect()} == {tuple(sorted(r[:2])) for r in n.links.collect()}
 
 
+def test_copies_are_paired_by_slices(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "SLICE", 7)
+    rows = [(f"k{i:02d}", "春眠不觉晓处处闻啼鸟夜来风雨声花落知多少" * 2, i) for i in range(40)]
+    n = neardup.NearDuplicates(spark.createDataFrame(rows, "id string, text string, seq int"), "id", "text", "seq")
+    got = [(r["id_a"], r["id_b"]) for r in n.pairs().collect()]
+    assert sorted(got) == sorted(itertools.combinations([k for k, _, _ in rows], 2))
+    assert {(r["group_id"], r["copies"], r["links"]) for r in n.groups().collect()} == {("k00", 40, 0)}
+
+
+def test_components_of_long_chains(spark):
+    rnd = random.Random(14)
+    names = rnd.sample(range(1000), 300)
+    edges = list(zip(names[:200], names[1:200])) + list(zip(names[200:], names[201:]))
+    got = {r["did"]: r["root"] for r in neardup.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == {x: min(part) for part in (names[:200], names[200:]) for x in part}
+
+
 # ---- problem 9
 
 

@@ -4,12 +4,14 @@ Every text becomes the set of its three consecutive letters and digits, each hel
 a class and are compared once. Two sets of Jaccard similarity t or more share one of their rarest elements: in an order by global
 frequency the larger one has it among its first n - ceil(t n) + 1 elements, the smaller one among its first
 n - ceil(2 t n / (1 + t)) + 1. So classes meet in the postings of such an element, cut into tiles by size band; only tiles whose
-sizes can reach t are compared. Inside, a bitmap of hashed elements bounds the overlap from above: of |A| elements at least
-popcount(bits of A not in B) are missing in B. Survivors go through an exact intersection of sorted arrays. Nothing is capped, no
+sizes can reach t are compared. Inside, the places of the element in both orders bound the overlap (at the first element that a pair
+shares, only what follows it can be shared too; a pair that fails there shares too little), and a bitmap of hashed elements bounds it
+from above: of |A| elements at least popcount(bits of A not in B) are missing in B. Survivors go through an exact intersection of sorted arrays. Nothing is capped, no
 link is lost; postings of frequent elements are split over slices (each indexed row in one slice, each probing row in all).
 
 The frequencies only set an order, so they come from a table of 2^18 counters over all texts (4 MB at most), the one thing that
-is broadcast. Null keys and null, empty or short texts take no part; repeated keys count once (text of the least order column).
+is broadcast. groups() gives one row per key with its class and group; pairs() lists all pairs, those inside a class of copies by slices of
+SLICE members, so that no task makes all pairs of a class. Null keys and null, empty or short texts take no part; repeated keys count once (text of the least order column).
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from .common import letters, units, written
 COUNTERS = 18  # bits
 BITMAP = 8  # words of 64 bits
 HOT = 20_000  # postings of one element before it is split
+SLICE = 2_000  # members of a class of copies that one task pairs with all
+CELLS = 400_000  # pairs that a tile looks at at a time
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -94,55 +98,63 @@ def frequencies(classes: DataFrame) -> np.ndarray:
 
 
 def _postings(classes: DataFrame, counts, num: int, den: int) -> DataFrame:
-    """(token, slice, n, indexed, did, bits) for threshold num / den."""
-    schema = pa.schema([("token", pa.int64()), ("slice", pa.int32()), ("n", pa.int32()), ("indexed", pa.bool_()), ("did", pa.int64()), ("bits", pa.binary())])
+    """(token, slice, n, place, indexed, did, bits) for threshold num / den."""
+    schema = pa.schema([("token", pa.int64()), ("slice", pa.int32()), ("n", pa.int32()), ("place", pa.int32()), ("indexed", pa.bool_()), ("did", pa.int64()), ("bits", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = counts.value
         for b in batches:
-            cols: list[list] = [[], [], [], [], [], []]
+            cols: list[list[np.ndarray]] = [[] for _ in schema]
             for did, x in zip(b.column("did").to_pylist(), _lists(b, "keys")):
                 n = len(x)
                 f = c[(mixed(x) >> np.uint64(64 - COUNTERS)).astype(np.int64)]
                 probe, index = n - -(-num * n // den) + 1, n - -(-2 * num * n // (num + den)) + 1
                 order = np.lexsort((x, f))[:probe]
-                sign = bitmap(x).tobytes()
-                for r, (t, m) in enumerate(zip(x[order].tolist(), f[order].tolist())):
-                    parts = -(-m // HOT)
-                    for s in range(parts) if parts > 1 else (0,):
-                        cols[0].append(t)
-                        cols[1].append(s)
-                        cols[2].append(n)
-                        cols[3].append(r < index and (parts <= 1 or did % parts == s))
-                        cols[4].append(did)
-                        cols[5].append(sign)
-            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(cols, schema)], schema=schema)
-
-    return classes.select("did", "keys").mapInArrow(run, "token bigint, slice int, n int, indexed boolean, did bigint, bits binary")
-
-
-def _tile(n: np.ndarray, indexed: np.ndarray, did: np.ndarray, bits: np.ndarray, num: int, den: int, out: list) -> None:
-    """Compares the postings of one element. Bands of sizes [2^k, 2^(k+1)) are tiles; a probing band meets the indexed bands that can reach the threshold."""
+                parts = np.maximum(1, -(-f[order] // HOT))
+                place = np.repeat(np.arange(probe), parts)
+                part = np.arange(len(place)) - np.repeat(np.cumsum(parts) - parts, parts)
+                mine = (place < index) & (did % parts[place] == part)
+                for col, v in zip(cols, (x[order][place], part, np.full(len(place), n), place, mine, np.full(len(place), did), np.tile(bitmap(x), len(place)))):
+                    col.append(v)
+            if cols[0]:
+                token, part, n, place, mine, did, bits = map(np.concatenate, cols)
+                words = pa.BinaryArray.from_buffers(pa.binary(), len(token), [None, pa.py_buffer(np.arange(len(token) + 1, dtype=np.int32) * (8 * BITMAP)), pa.py_buffer(bits)])
+                yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(part.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(mine), pa.array(did), words], schema=schema)
+
+    return classes.select("did", "keys").mapInArrow(run, "token bigint, slice int, n int, place int, indexed boolean, did bigint, bits binary")
+
+
+def _tile(n: np.ndarray, place: np.ndarray, indexed: np.ndarray, did: np.ndarray, bits: np.ndarray, num: int, den: int, out: list) -> None:
+    """Compares the postings of one element. Bands of sizes [2^k, 2^(k+1)) are tiles; a probing band meets the indexed bands that can reach the threshold, each probing row only the stretch of them whose sizes can."""
+    order = np.argsort(n, kind="stable")
+    n, place, indexed, did, bits = n[order], place[order], indexed[order], did[order], bits[order]
     band = np.frexp(n.astype(np.float64))[1]
+    index = np.flatnonzero(indexed)
     for bp in np.unique(band):
         probe = np.flatnonzero(band == bp)
-        least = -(-num * int(n[probe].min()) // den)
-        for bi in np.unique(band[indexed]):
+        least = -(-num * int(n[probe[0]]) // den)
+        for bi in np.unique(band[index]):
             if bi > bp or (1 << int(bi)) - 1 < least:
                 continue
-            index = np.flatnonzero(indexed & (band == bi))
-            step = max(1, 400_000 // len(index))
-            for at in range(0, len(probe), step):
-                p = probe[at : at + step]
-                np_, ni = n[p][:, None], n[index][None, :]
-                fit = (ni * den >= np_ * num) & ((ni < np_) | ((ni == np_) & (did[index][None, :] < did[p][:, None])))
-                a, b = np.nonzero(fit)
+            tile = index[band[index] == bi]
+            lo = np.searchsorted(n[tile], -(-num * n[probe] // den), "left")
+            many = np.searchsorted(n[tile], n[probe], "right") - lo
+            cuts = np.searchsorted(np.cumsum(many), np.arange(CELLS, int(many.sum()) + CELLS, CELLS), "right")
+            for x, y in zip([0, *cuts], [*cuts, len(probe)]):
+                c = many[x:y]
+                if not c.sum():
+                    continue
+                a = np.repeat(probe[x:y], c)
+                b = tile[np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c) + np.repeat(lo[x:y], c)]
+                na, nb = n[a], n[b]
+                shared = -(-num * (na + nb) // (num + den))  # what a pair must share
+                fit = ((nb < na) | (did[b] < did[a])) & (np.minimum(na - place[a], nb - place[b]) >= shared)
+                a, b, na, nb, shared = a[fit], b[fit], na[fit], nb[fit], shared[fit]
                 if not len(a):
                     continue
-                a, b = p[a], index[b]
                 both = np.bitwise_count(bits[a] & bits[b]).sum(1, dtype=np.int64)
-                bound = np.minimum(n[a] - (np.bitwise_count(bits[a]).sum(1, dtype=np.int64) - both), n[b] - (np.bitwise_count(bits[b]).sum(1, dtype=np.int64) - both))
-                ok = bound * (num + den) >= num * (n[a] + n[b])
+                bound = np.minimum(na - np.bitwise_count(bits[a]).sum(1, dtype=np.int64), nb - np.bitwise_count(bits[b]).sum(1, dtype=np.int64)) + both
+                ok = bound >= shared
                 if ok.any():
                     out.append((did[b[ok]], did[a[ok]]))
 
@@ -160,13 +172,13 @@ def _candidates(postings: DataFrame, num: int, den: int) -> DataFrame:
             if not last and not len(edge):
                 return  # one element only, so far
             ends = [*edge.tolist(), len(token)] if last else edge.tolist()
-            n, did = t.column("n").to_numpy().astype(np.int64), t.column("did").to_numpy()
+            n, place, did = t.column("n").to_numpy().astype(np.int64), t.column("place").to_numpy().astype(np.int64), t.column("did").to_numpy()
             indexed = t.column("indexed").to_numpy(zero_copy_only=False)
             bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(-1, BITMAP)
             out: list = []
             for lo, hi in zip([0, *ends], ends):
                 if hi - lo > 1 and indexed[lo:hi].any():
-                    _tile(n[lo:hi], indexed[lo:hi], did[lo:hi], bits[lo:hi], num, den, out)
+                    _tile(n[lo:hi], place[lo:hi], indexed[lo:hi], did[lo:hi], bits[lo:hi], num, den, out)
             held[:] = [] if last else t.slice(ends[-1]).combine_chunks().to_batches()
             if out:
                 pairs = np.unique(np.stack([np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])], 1), axis=0)
@@ -225,9 +237,11 @@ class NearDuplicates:
         m = self.members
         a, b = m.select(F.col("_k").alias("ka"), F.col("did").alias("a")), m.select(F.col("_k").alias("kb"), F.col("did").alias("b"))
         across = self.links.join(a, "a").join(b, "b").select("ka", "kb", "similarity")
-        many = m.groupBy("did").agg(F.count("*").alias("n")).where("n > 1").select(F.col("did").alias("a"))
-        own = a.join(many, "a", "left_semi")
-        within = own.join(own.select(F.col("ka").alias("kb"), F.col("a").alias("b")), F.col("a") == F.col("b")).where("ka < kb").select("ka", "kb", F.lit(1.0).alias("similarity"))
+        many = m.groupBy("did").agg(F.count("*").alias("n")).where("n > 1").select("did", F.ceil(F.col("n") / SLICE).cast("int").alias("parts"))
+        own = m.join(many, "did")
+        one = own.select("did", F.col("_k").alias("ka"), F.pmod(F.xxhash64("_k"), F.col("parts")).cast("int").alias("part"))
+        two = own.select("did", F.col("_k").alias("kb"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        within = one.join(two, ["did", "part"]).where("ka < kb").select("ka", "kb", F.lit(1.0).alias("similarity"))
         return across.unionByName(within).select(F.least("ka", "kb").alias("id_a"), F.greatest("ka", "kb").alias("id_b"), "similarity")
 
     def groups(self) -> DataFrame:
@@ -240,11 +254,11 @@ class NearDuplicates:
         return self.members.join(cls.join(named, "root").select("did", "group_id", "copies", F.coalesce("links", F.lit(0)).alias("links")), "did").select(F.col("_k").alias(self.key), "group_id", "copies", "links")
 
 
-def components(edges: DataFrame, most: int = 60) -> DataFrame:
-    """did -> root, the least id of its component. Alternating large-star and small-star steps; every step is written to the shared folder."""
+def components(edges: DataFrame) -> DataFrame:
+    """did -> root, the least id of its component. Alternating large-star and small-star steps until nothing changes; every step is written to the shared folder."""
     star = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     last = None
-    for _ in range(most):
+    while True:
         both = star.unionByName(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
