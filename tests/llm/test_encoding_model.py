@@ -23,7 +23,7 @@ def test_pairs_are_counted_over_everything(spark):
     for ab, n in pairs.items():
         assert min(c[k] for c, k in zip(m.counters, encoding._slots(*map(ord, ab)))) >= n  # a counter never counts too little
     assert sum(min(c[k] for c, k in zip(m.counters, encoding._slots(*map(ord, ab)))) == n for ab, n in pairs.items()) > 0.99 * len(pairs)
-    assert m.pair("zq") < m.pair("ab") and "q" not in m.chars and len(m.counters[0]) == 1 << encoding.COUNTERS
+    assert m["zq"] < m["ab"] and "q" not in m.chars and len(m.counters[0]) == 1 << encoding.COUNTERS
 
 
 def test_margins_rise_with_false_gains():

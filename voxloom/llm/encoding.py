@@ -28,6 +28,7 @@ import re
 import uuid
 from collections.abc import Iterator
 from functools import cache, lru_cache
+from operator import concat
 
 import numpy as np
 import pyarrow as pa
@@ -112,34 +113,30 @@ def _slots(a, b) -> list:
     return [((a << 21 | b) * h & 0xFFFFFFFFFFFFFFFF) >> (64 - COUNTERS) for h in HASHES]
 
 
-class Model:
-    """Interpolated probabilities of character pairs."""
+class Model(dict):
+    """Interpolated log probabilities of character pairs, worked out when they are first asked for."""
 
     def __init__(self, counters: list[np.ndarray], chars: dict[str, int]):
         self.counters, self.chars = counters, chars
         self.total = sum(chars.values()) + 1
-        self.known: dict[str, float] = {}
-
-    def pair(self, ab: str) -> float:
-        got = self.known.get(ab)
-        if got is None:
-            a, b = ab
-            one = (self.chars.get(b, 0) + 0.02) / (self.total + 0.02 * 70_000)
-            n = self.chars.get(a, 0)
-            both = min(float(c[k]) for c, k in zip(self.counters, _slots(ord(a), ord(b)))) if n and b in self.chars else 0.0
-            got = math.log(0.75 * min(1.0, both / n) + 0.25 * one) if n else math.log(one * 0.5)
-            if len(self.known) > 500_000:
-                self.known.clear()
-            self.known[ab] = got
+
+    def __missing__(self, ab: str) -> float:
+        a, b = ab
+        one = (self.chars.get(b, 0) + 0.02) / (self.total + 0.02 * 70_000)
+        n = self.chars.get(a, 0)
+        both = min(float(c[k]) for c, k in zip(self.counters, _slots(ord(a), ord(b)))) if n and b in self.chars else 0.0
+        got = math.log(0.75 * min(1.0, both / n) + 0.25 * one) if n else math.log(one * 0.5)
+        if len(self) > 500_000:
+            self.clear()
+        self[ab] = got
         return got
 
     def score(self, before: str, s: str, after: str) -> float:
         """Mean log probability of the pairs that touch s."""
         t = before[-1:] + s + after[:1]
         if len(t) < 2:
-            return self.pair(" " + t) if t else 0.0
-        pair = self.pair
-        return sum(pair(t[i : i + 2]) for i in range(len(t) - 1)) / (len(t) - 1)
+            return self[" " + t] if t else 0.0
+        return sum(map(self.__getitem__, map(concat, t, t[1:]))) / (len(t) - 1)
 
 
 #: A character that no one-byte encoding has.
@@ -189,14 +186,19 @@ def candidates(s: str, sure: bool = False) -> Iterator[tuple[str, str]]:
         level = nxt
 
 
+#: Two whole sequences of UTF-8.
+_SEQUENCES = re.compile(rb"(?s)(?:[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}).*?(?:[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3})")
+
+
 def lost(s: str, before: str, after: str, model: Model, margin: float) -> tuple[str, str] | None:
     """(chain, text) of a run of UTF-8 read in another encoding that lost characters: what is left, with U+FFFD for what is gone. At least two whole sequences that are likelier than the run by the margin, or a cut one of general punctuation."""
-    for wrong in (*SINGLE, "gb18030"):
+    for wrong in ("gb18030",) if _WIDE.search(s) else (*SINGLE, "gb18030"):
         b = encoded(s, wrong)
-        if b is None or len(b) < 2:
+        if b is None or len(b) < 2 or not (_SEQUENCES.search(b) or b[-2:] == b"\xe2\x80"):
             continue
         u = b.decode("utf-8", "replace")
-        good, gone = sum("\x7f" < c != "\ufffd" for c in u), u.count("\ufffd")
+        gone = u.count("\ufffd")
+        good = len(u) - gone - len(_ASCII.findall(u))
         likely = good >= 2 and good >= 2 * gone and model.score(before, u.replace("\ufffd", ""), after) > model.score(before, s, after) + margin
         if gone and (likely or gone == 1 and b[-2:] == b"\xe2\x80" and u[-1] == "\ufffd"):
             return f"{wrong}:utf-8 with losses", u
