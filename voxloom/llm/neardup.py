@@ -124,21 +124,22 @@ def _postings(classes: DataFrame, counts, num: int, den: int) -> DataFrame:
     return classes.select("did", "keys").mapInArrow(run, "token bigint, slice int, n int, place int, indexed boolean, did bigint, bits binary")
 
 
-def _tile(n: np.ndarray, place: np.ndarray, indexed: np.ndarray, did: np.ndarray, bits: np.ndarray, num: int, den: int, out: list) -> None:
-    """Compares the postings of one element. Bands of sizes [2^k, 2^(k+1)) are tiles; a probing band meets the indexed bands that can reach the threshold, each probing row only the stretch of them whose sizes can."""
-    order = np.argsort(n, kind="stable")
-    n, place, indexed, did, bits = n[order], place[order], indexed[order], did[order], bits[order]
+def _tiles(element: np.ndarray, n: np.ndarray, place: np.ndarray, indexed: np.ndarray, did: np.ndarray, bits: np.ndarray, num: int, den: int, out: list) -> None:
+    """Compares the postings of elements (numbered from 0). Bands of sizes [2^k, 2^(k+1)) are tiles; a probing band meets the indexed bands that can reach the threshold, each probing row only the stretch of its element's rows whose sizes can."""
+    key = element << 32 | n
+    order = np.argsort(key, kind="stable")
+    key, n, place, indexed, did, bits = key[order], n[order], place[order], indexed[order], did[order], bits[order]
     band = np.frexp(n.astype(np.float64))[1]
     index = np.flatnonzero(indexed)
     for bp in np.unique(band):
         probe = np.flatnonzero(band == bp)
-        least = -(-num * int(n[probe[0]]) // den)
+        least = -(-num * int(n[probe].min()) // den)
         for bi in np.unique(band[index]):
             if bi > bp or (1 << int(bi)) - 1 < least:
                 continue
             tile = index[band[index] == bi]
-            lo = np.searchsorted(n[tile], -(-num * n[probe] // den), "left")
-            many = np.searchsorted(n[tile], n[probe], "right") - lo
+            lo = np.searchsorted(key[tile], key[probe] - n[probe] - (-num * n[probe] // den), "left")
+            many = np.searchsorted(key[tile], key[probe], "right") - lo
             cuts = np.searchsorted(np.cumsum(many), np.arange(CELLS, int(many.sum()) + CELLS, CELLS), "right")
             for x, y in zip([0, *cuts], [*cuts, len(probe)]):
                 c = many[x:y]
@@ -171,15 +172,14 @@ def _candidates(postings: DataFrame, num: int, den: int) -> DataFrame:
             edge = np.flatnonzero((np.diff(token) != 0) | (np.diff(part) != 0)) + 1
             if not last and not len(edge):
                 return  # one element only, so far
-            ends = [*edge.tolist(), len(token)] if last else edge.tolist()
             n, place, did = t.column("n").to_numpy().astype(np.int64), t.column("place").to_numpy().astype(np.int64), t.column("did").to_numpy()
             indexed = t.column("indexed").to_numpy(zero_copy_only=False)
             bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(-1, BITMAP)
+            end = len(token) if last else int(edge[-1])
+            number = np.searchsorted(edge, np.arange(end), "right").astype(np.int64)
             out: list = []
-            for lo, hi in zip([0, *ends], ends):
-                if hi - lo > 1 and indexed[lo:hi].any():
-                    _tile(n[lo:hi], place[lo:hi], indexed[lo:hi], did[lo:hi], bits[lo:hi], num, den, out)
-            held[:] = [] if last else t.slice(ends[-1]).combine_chunks().to_batches()
+            _tiles(number, n[:end], place[:end], indexed[:end], did[:end], bits[:end], num, den, out)
+            held[:] = [] if last else t.slice(end).combine_chunks().to_batches()
             if out:
                 pairs = np.unique(np.stack([np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])], 1), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema)
