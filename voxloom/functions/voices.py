@@ -13,17 +13,23 @@ from pyspark.sql import types as T
 
 from .text import HAN, strip
 
-# The items of an instruction by category, English and Chinese names in the same order.
-CATEGORIES = {
-    "gender": ("male,female", "男,女"),
-    "age": ("child,teenager,young adult,middle-aged,elderly", "儿童,少年,青年,中年,老年"),
-    "pitch": ("very low pitch,low pitch,moderate pitch,high pitch,very high pitch", "极低音调,低音调,中音调,高音调,极高音调"),
-    "style": ("whisper", "耳语"),
-    "accent": ("american accent,british accent,australian accent,chinese accent,canadian accent,indian accent,korean accent,portuguese accent,russian accent,japanese accent", ""),
-    "dialect": ("", "河南话,陕西话,四川话,贵州话,云南话,桂林话,济南话,石家庄话,甘肃话,宁夏话,青岛话,东北话"),
+# The items of an instruction by category, in English and in Chinese (in the same order where there are both).
+ENGLISH = {
+    "gender": ("male", "female"),
+    "age": ("child", "teenager", "young adult", "middle-aged", "elderly"),
+    "pitch": ("very low pitch", "low pitch", "moderate pitch", "high pitch", "very high pitch"),
+    "style": ("whisper",),
+    "accent": ("american accent", "british accent", "australian accent", "chinese accent", "canadian accent", "indian accent", "korean accent", "portuguese accent", "russian accent", "japanese accent"),
 }
-_ITEM = {x: k for k, v in CATEGORIES.items() for names in v for x in names.split(",") if x}
-_TO_ZH = {a: b for en, zh in CATEGORIES.values() for a, b in zip(en.split(","), zh.split(",")) if a and b}
+CHINESE = {
+    "gender": ("男", "女"),
+    "age": ("儿童", "少年", "青年", "中年", "老年"),
+    "pitch": ("极低音调", "低音调", "中音调", "高音调", "极高音调"),
+    "style": ("耳语",),
+    "dialect": ("河南话", "陕西话", "四川话", "贵州话", "云南话", "桂林话", "济南话", "石家庄话", "甘肃话", "宁夏话", "青岛话", "东北话"),
+}
+_ITEM = {x: k for names in (ENGLISH, CHINESE) for k, items in names.items() for x in items}
+_TO_ZH = {a: b for k in ENGLISH.keys() & CHINESE.keys() for a, b in zip(ENGLISH[k], CHINESE[k])}
 _TO_EN = {b: a for a, b in _TO_ZH.items()}
 LIMITS = {"ultra_short": 5, "short": 8, "medium": 15, "long": 25, "very_long": 40}
 
