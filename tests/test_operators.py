@@ -138,3 +138,16 @@ def test_conflicts_and_upsert(spark):
     assert set(got) == {"b", "c", "d"} and got["c"]["null_conflict"] and got["d"]["column_conflict"]
     old, new = spark.createDataFrame([("a", 1, 2)], "k string, x int, y int"), spark.createDataFrame([("a", 9), ("b", 3)], "k string, x int")
     assert sorted(map(tuple, joins.upsert(old, new, "k").collect())) == [("a", 9, 2), ("b", 3, None)]
+
+
+@pytest.mark.parametrize("per", [40, 10_000])
+def test_numbered_cuts_heavy_ties(spark, monkeypatch, per):
+    monkeypatch.setattr(ordering, "PER_RANGE", per)
+    monkeypatch.setattr(ordering, "SLICES", 5)
+    rnd = random.Random(3)
+    rows = [(i, rnd.choice([0.0, 0.0, 0.0, None, None, rnd.random()]), f"t{rnd.randrange(90):02d}") for i in range(800)]
+    df = spark.createDataFrame(rows, "id int, x double, t string").repartition(5)
+    for desc in (False, True):
+        got = {r["id"]: r["rn"] for r in ordering.numbered(df, "x", descending=desc, tie=["t", "id"]).collect()}
+        want = sorted(rows, key=lambda r: (r[1] is None, (-r[1] if desc else r[1]) if r[1] is not None else 0, r[2], r[0]))
+        assert [got[r[0]] for r in want] == list(range(1, 801))

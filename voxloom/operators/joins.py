@@ -12,6 +12,25 @@ def first_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     return df.withColumn("_r", F.row_number().over(W.partitionBy(key).orderBy(*order))).where("_r = 1").drop("_r")
 
 
+def first_finite(df: DataFrame, key: str, value: str, at: str) -> DataFrame:
+    """key, rows and, of the finite values of each key, the first to arrive (no time counts as the last), then the larger; null if there is none."""
+    x = F.when(~F.isnan(value) & (F.abs(value) < float("inf")), F.col(value))
+    first = F.min(F.when(x.isNotNull(), F.struct(F.col(at).isNull().alias("u"), F.col(at).alias("t"), (-x).alias("v"))))
+    return df.groupBy(key).agg(F.count("*").alias("rows"), first.alias("_f")).select(key, "rows", (-F.col("_f.v")).alias(value))
+
+
+def folded_language(c: str | Column) -> Column:
+    """Language of a label: mixed kinds by what they mostly are, null as unknown."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.when(c == "en_mostly", "en").when(c.isin("cn_mostly", "frequent_mix"), "zh").otherwise(F.coalesce(c, F.lit("unknown")))
+
+
+def cloning_language(c: str | Column, known: tuple[str, ...]) -> Column:
+    """Language to speak in: the folded label where it is one of the known codes, else zh."""
+    low = F.lower(F.trim(folded_language(c)))
+    return F.when(low.isin(*known), low).otherwise("zh")
+
+
 def conflicts(df: DataFrame, key: str, value: str, equal: list[str], tolerance: float) -> DataFrame:
     """Keys whose rows disagree: a value off by more than the tolerance, null beside a value, or different columns in `equal`."""
     x = F.when(~F.isnan(value), F.col(value))

@@ -45,17 +45,20 @@ def similarities(pairs: DataFrame, audio: DataFrame, one: str, two: str, key: st
     return pairs.join(a, one, "left").join(b, two, "left").withColumn("similarity", cosine(F.col("_a"), F.col("_b"))).drop("_a", "_b")
 
 
-def multiplexed(parts: list[tuple[DataFrame, float]], key: str, seed: int = 0) -> DataFrame:
+def multiplexed(parts: list[tuple[DataFrame, float]], key: str) -> DataFrame:
     """Rows of several sources in one order in which, at every point, sources stand in proportion to their weights.
 
-    Inside a source rows get ranks by hash; a row's place is its rank over its source's weight. Places only order: write them
-    range-partitioned to keep the mix without a single task.
+    Inside a source rows get ranks by the hash of their key; a row's place is its rank over its source's weight. Places only order:
+    write them range-partitioned to keep the mix without a single task.
     """
     from .ordering import numbered
 
     out = None
     for k, (df, w) in enumerate(parts):
-        d = numbered(df.withColumn("_h", F.xxhash64(F.lit(seed), key)), "_h", "_n", tie=key).withColumn("source_no", F.lit(k)).withColumn("place", (F.col("_n") - 0.5) / w).drop("_n", "_h")
+        h = F.md5(F.col(key).cast("string"))
+        # the first twelve hex digits as a number make ranges; the whole hash orders inside them
+        d = df.withColumn("_m", h).withColumn("_h", F.conv(F.substring(h, 1, 12), 16, 10).cast("double"))
+        d = numbered(d, "_h", "_n", tie=["_m", key]).withColumn("source_no", F.lit(k)).withColumn("place", (F.col("_n") - 0.5) / w).drop("_n", "_h", "_m")
         out = d if out is None else out.unionByName(d)
     return out
 

@@ -52,13 +52,45 @@ def top_per_group(df: DataFrame, group: list[str], order: list[Column], n: int,
     return part.withColumn("_r", F.row_number().over(W.partitionBy(*group).orderBy(*order))).where(F.col("_r") <= n).drop("_s", "_r")
 
 
-def walk(speakers: DataFrame, key: str, refs: str, texts: int, per: int) -> DataFrame:
-    """key, ordinal, ref_index, text_index: each speaker starts at its own text and goes on by its own step. With a prime number of texts every step visits all of them."""
-    if texts < 2 or any(texts % p == 0 for p in range(2, int(texts**0.5) + 1)):
-        raise ValueError("the number of texts must be prime")
-    h = lambda name: F.conv(F.substring(F.sha2(F.concat_ws("\0", F.lit(name), key), 256), 1, 12), 16, 10).cast("bigint")
-    d = speakers.select(key, refs, (h("text-offset") % texts).alias("_o"), (1 + h("text-step") % (texts - 1)).alias("_s"), F.explode(F.sequence(F.lit(0), F.lit(per - 1))).alias("ordinal"))
-    return d.select(key, "ordinal", (F.col("ordinal") % F.col(refs)).alias("ref_index"), ((F.col("_o") + F.col("_s") * F.col("ordinal")) % texts).alias("text_index"))
+def _primes(n: int) -> list[int]:
+    """Prime factors."""
+    out, p = [], 2
+    while p * p <= n:
+        if n % p == 0:
+            out.append(p)
+            while n % p == 0:
+                n //= p
+        p += 1
+    return out + ([n] if n > 1 else [])
+
+
+def text_walk(key: str | Column, texts: int) -> tuple[Column, Column]:
+    """Offset and step of a speaker's walk over a pool of texts, by the first 24 hex digits of seeded SHA-256 hashes. The step has no common factor with the size of the pool (the next one up, around, that has none), so the walk visits every text."""
+    if texts < 1:
+        raise ValueError("no texts to walk over")
+    if texts == 1:
+        return F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    k = F.col(key) if isinstance(key, str) else key
+
+    def hashed(name: str, modulus: int) -> Column:
+        # 24 hex digits in two halves, so that nothing exceeds a long decimal
+        h = F.sha2(F.concat_ws("\0", F.lit(name), k), 256)
+        high, low = (F.conv(F.substring(h, at, 12), 16, 10).cast("decimal(20,0)") % modulus for at in (1, 13))
+        return ((high * ((1 << 48) % modulus) + low) % modulus).cast("bigint")
+
+    first, factors = hashed("text-step", texts - 1), _primes(texts)
+    # among so many neighbours one is free of all prime factors: no 64 in a row aren't, for a product of up to 15 primes
+    steps = F.transform(F.sequence(F.lit(0), F.lit(min(64, texts - 1))), lambda i: 1 + (first + i) % (texts - 1))
+    free = F.filter(steps, lambda s: F.forall(F.array(*map(F.lit, factors)), lambda p: s % p != 0))
+    return hashed("text-offset", texts), F.element_at(free, 1).cast("bigint")
+
+
+def walk(tasks: DataFrame, key: str, refs: str, ordinal: str, texts: int) -> DataFrame:
+    """tasks with ref_index and text_index: references in turn, and for each turn over them (cycle) the speaker's step through the texts."""
+    offset, step = text_walk(key, texts)
+    o, n = F.col(ordinal).cast("bigint"), F.col(refs).cast("bigint")
+    d = tasks.withColumn("ref_index", o % n).withColumn("_cycle", F.floor(o / n).cast("bigint")).withColumn("_o", offset).withColumn("_s", step)
+    return d.withColumn("text_index", (F.col("_o") + F.col("ref_index") + F.pmod(F.col("_cycle"), F.lit(texts)) * F.col("_s")) % texts).drop("_cycle", "_o", "_s")
 
 
 def tasks_for(deficit: Column, multiplier: float, seconds_each: float, reserve: int) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from ..operators import ordering as o
 from ..operators import quota as q
 from ..session import table
-from .metrics import _CER, _SIM, cer, sim
+from .metrics import _CER, _COSINES, _SIM, cer, cosines, sim
 from .registry import query
 
 _POOL = "llm_children_100k_asr_complete"
@@ -53,7 +53,7 @@ def reference_rank(spark: SparkSession, d: str) -> DataFrame:
     return _refs(spark, d).select("speaker_key", "utt_id", F.row_number().over(W.partitionBy("speaker_key").orderBy(*by)).alias("rank"))
 
 
-_HIST = "SELECT ref_audio, count(*) FILTER (isfinite(similarity)) AS n, count(*) FILTER (similarity > 0.8 AND isfinite(similarity)) AS p, max(similarity) FILTER (isfinite(similarity)) AS b, avg(similarity) FILTER (isfinite(similarity)) AS m FROM sim WHERE score_version = 2 GROUP BY 1"
+_HIST = f"SELECT ref_audio, count(*) FILTER (isfinite(similarity)) AS n, count(*) FILTER (similarity > 0.8 AND isfinite(similarity)) AS p, max(similarity) FILTER (isfinite(similarity)) AS b, avg(similarity) FILTER (isfinite(similarity)) AS m FROM {_COSINES} GROUP BY 1"
 
 
 @query(f"""WITH h AS ({_HIST}), r AS (SELECT speaker_key, ref_audio, coalesce(n, 0) AS n, coalesce(p, 0) AS p, row_number() OVER (PARTITION BY speaker_key ORDER BY round(coalesce(p / nullif(n, 0), 0), 9) DESC, coalesce(p, 0) DESC, coalesce(b, -1) DESC, round(coalesce(m, -1), 9) DESC, ref_audio) AS rank FROM (SELECT DISTINCT speaker_key, ref_audio FROM {_REF}) LEFT JOIN h USING (ref_audio)),
@@ -62,7 +62,7 @@ SELECT speaker_key, ref_audio, rank FROM f WHERE CASE WHEN anyp THEN p > 0 AND k
 def reference_history_rank(spark: SparkSession, d: str) -> DataFrame:
     """Best passed references per speaker, else the best observed, else all."""
     x = F.when(~F.isnan("similarity"), F.col("similarity"))
-    h = table(spark, d, "sim", "ref_audio", "similarity", "score_version").where("score_version = 2").groupBy("ref_audio").agg(F.count(x).alias("n"), F.count_if(x > 0.8).alias("p"), F.max(x).alias("b"), F.avg(x).alias("m"))
+    h = cosines(spark, d, "ref_audio").groupBy("ref_audio").agg(F.count(x).alias("n"), F.count_if(x > 0.8).alias("p"), F.max(x).alias("b"), F.avg(x).alias("m"))
     return q.top_references(_refs(spark, d).select("speaker_key", "ref_audio").distinct(), h, 3)
 
 
@@ -124,21 +124,46 @@ def truncated(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, _POOL, "seq", "id").orderBy("seq").limit(300)
 
 
-@query(f"""WITH s AS (SELECT speaker_key, count(*) AS refs FROM (SELECT DISTINCT speaker_key, ref_audio FROM {_REF}) GROUP BY 1), h AS (SELECT speaker_key, refs, (('0x' || substr(sha256('text-offset' || chr(0) || speaker_key), 1, 12))::UBIGINT % 97)::BIGINT AS off, (1 + (('0x' || substr(sha256('text-step' || chr(0) || speaker_key), 1, 12))::UBIGINT % 96))::BIGINT AS step FROM s)
-SELECT speaker_key, k AS ordinal, k % refs AS ref_index, (off + step * k) % 97 AS text_index FROM h, (SELECT unnest(range(10)) AS k)""")
-def walk_assignment(spark: SparkSession, d: str) -> DataFrame:
-    """Deterministic walk of texts over references: offsets and steps by hash, prime modulus."""
+def _walk_sql(texts: str, last: int) -> str:
+    """The walk of every speaker over a pool of `texts`, ordinals 0 to last: steps one by one until one has no common divisor with the pool."""
+    h = lambda name, mod: f"((('0x' || substr(sha256('{name}' || chr(0) || speaker_key), 1, 12))::UBIGINT::HUGEINT * 281474976710656 + ('0x' || substr(sha256('{name}' || chr(0) || speaker_key), 13, 12))::UBIGINT::HUGEINT) % ({mod}))::BIGINT"
+    return f"""WITH RECURSIVE t AS (SELECT ({texts})::BIGINT AS t), s AS (SELECT speaker_key, count(*) AS refs FROM (SELECT DISTINCT speaker_key, ref_audio FROM {_REF}) GROUP BY 1),
+g(speaker_key, refs, t, off, step) AS (SELECT speaker_key, refs, t, CASE WHEN t = 1 THEN 0 ELSE {h('text-offset', 't')} END, CASE WHEN t = 1 THEN 1 ELSE 1 + {h('text-step', 'greatest(t - 1, 1)')} END FROM s, t
+UNION ALL SELECT speaker_key, refs, t, off, 1 + step % (t - 1) FROM g WHERE gcd(step, t) <> 1),
+w AS (SELECT speaker_key, k AS ordinal, k % refs AS ref_index, (off + k % refs + (k // refs) * step) % t AS text_index FROM g, (SELECT unnest(range({last + 1})) AS k) WHERE gcd(step, t) = 1)"""
+
+
+def _walked(spark: SparkSession, d: str, texts: int, last: int) -> DataFrame:
     s = _refs(spark, d).groupBy("speaker_key").agg(F.countDistinct("ref_audio").alias("refs"))
-    return q.walk(s, "speaker_key", "refs", texts=97, per=10)
+    return q.walk(s.withColumn("ordinal", F.explode(F.sequence(F.lit(0), F.lit(last)))), "speaker_key", "refs", "ordinal", texts).select("speaker_key", "ordinal", "ref_index", "text_index")
+
+
+_TEXTS = f"SELECT count(DISTINCT id) FROM {_POOL}"
+
+
+def _pool_size(spark: SparkSession, d: str) -> int:
+    return table(spark, d, _POOL, "id").agg(F.countDistinct("id")).first()[0]
 
 
-@query(f"""WITH w AS (SELECT speaker_key, k AS ordinal, (off + step * k) % 97 AS text_index FROM (SELECT speaker_key, (('0x' || substr(sha256('text-offset' || chr(0) || speaker_key), 1, 12))::UBIGINT % 97)::BIGINT AS off, (1 + (('0x' || substr(sha256('text-step' || chr(0) || speaker_key), 1, 12))::UBIGINT % 96))::BIGINT AS step FROM (SELECT DISTINCT speaker_key FROM {_REF})), (SELECT unnest(range(10)) AS k))
-SELECT speaker_key, ordinal, text_index, row_number() OVER (PARTITION BY speaker_key ORDER BY ordinal) AS rank FROM w WHERE NOT EXISTS (SELECT 1 FROM nation n WHERE n.n_nationkey = w.text_index)""")
+@query(_walk_sql(_TEXTS, 30) + " SELECT * FROM w")
+def walk_assignment(spark: SparkSession, d: str) -> DataFrame:
+    """Deterministic walk of each speaker over its references and the texts of the pool, whatever its size."""
+    return _walked(spark, d, _pool_size(spark, d), 30)
+
+
+@query(_walk_sql("100", 30) + " SELECT * FROM w")
+def walk_composite(spark: SparkSession, d: str) -> DataFrame:
+    """The walk over a hundred texts: steps that share a factor with the pool go on to the next (M6)."""
+    return _walked(spark, d, 100, 30)
+
+
+@query(_walk_sql("100", 30) + f""", u AS (SELECT DISTINCT speaker_key, text_index FROM w JOIN (SELECT DISTINCT seq % 100 AS x, speaker FROM (SELECT seq, speaker_key AS speaker FROM {_POOL} p JOIN (SELECT DISTINCT speaker_key FROM {_REF}) r ON p.task_id % 50 = length(r.speaker_key))) h ON h.x = w.text_index AND h.speaker = w.speaker_key)
+SELECT speaker_key, ordinal, text_index, row_number() OVER (PARTITION BY speaker_key ORDER BY ordinal) AS rank FROM w ANTI JOIN u USING (speaker_key, text_index)""")
 def unused_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """The walk without texts used before, ranked again."""
-    s = _refs(spark, d).groupBy("speaker_key").agg(F.countDistinct("ref_audio").alias("refs"))
-    used = table(spark, d, "nation", F.col("n_nationkey").alias("text_index"))
-    left = q.walk(s, "speaker_key", "refs", texts=97, per=10).join(used, "text_index", "left_anti")
+    """The walk without the (speaker, text) pairs of an earlier plan, ranked again (J10). The earlier plan is made of the pool's tasks."""
+    speakers = _refs(spark, d).select("speaker_key").distinct()
+    used = table(spark, d, _POOL, "seq", "task_id").join(speakers, F.col("task_id") % 50 == F.length("speaker_key")).select("speaker_key", (F.col("seq") % 100).alias("text_index")).distinct()
+    left = _walked(spark, d, 100, 30).join(used, ["speaker_key", "text_index"], "left_anti")
     return left.select("speaker_key", "ordinal", "text_index", F.row_number().over(W.partitionBy("speaker_key").orderBy("ordinal")).alias("rank"))
 
 

@@ -34,9 +34,14 @@ def cer(spark: SparkSession, d: str) -> DataFrame:
     return _latest(table(spark, d, "eval", "wav", "cer", "arrived_at"), "wav", "cer")
 
 
+def cosines(spark: SparkSession, d: str, *cols: str) -> DataFrame:
+    """The similarity table with all scores on the cosine scale: version 1 rows hold (cosine + 1) / 2."""
+    df = table(spark, d, "sim", "similarity", "score_version", *cols)
+    return df.withColumn("similarity", F.when(F.col("score_version") == 1, 2 * F.col("similarity") - 1).otherwise(F.col("similarity"))).drop("score_version")
+
+
 def sim(spark: SparkSession, d: str) -> DataFrame:
-    df = table(spark, d, "sim", "cloned_audio", "similarity", "score_version", "arrived_at").where("score_version = 2")
-    return _latest(df, "cloned_audio", "similarity")
+    return _latest(cosines(spark, d, "cloned_audio", "arrived_at"), "cloned_audio", "similarity")
 
 
 def mos(spark: SparkSession, d: str) -> DataFrame:
@@ -44,7 +49,8 @@ def mos(spark: SparkSession, d: str) -> DataFrame:
 
 
 _CER, _MOS = _best("eval", "wav", "cer"), _best("mos", "cloned_audio", "utmos")
-_SIM = _best("(SELECT * FROM sim WHERE score_version = 2)", "cloned_audio", "similarity")
+_COSINES = "(SELECT * REPLACE (CASE WHEN score_version = 1 THEN 2 * similarity - 1 ELSE similarity END AS similarity) FROM sim)"
+_SIM = _best(_COSINES, "cloned_audio", "similarity")
 _ROOT = "split_part(wav, '/', 4)"
 
 
@@ -89,10 +95,12 @@ def cer_by_dataset(spark: SparkSession, d: str) -> DataFrame:
     return s.distribution(df, "cer", ["dataset"]).where("n + failed >= 100")
 
 
-@query(f"SELECT language, count(x) AS n, count(*) - count(x) AS failed, {_DIST} FROM (SELECT *, {_FIN.format('similarity')} AS x FROM sim WHERE score_version = 2) GROUP BY 1 HAVING count(*) >= 100")
+@query(f"""SELECT CASE WHEN language = 'en_mostly' THEN 'en' WHEN language IN ('cn_mostly', 'frequent_mix') THEN 'zh' ELSE coalesce(language, 'unknown') END AS language, count(x) AS n, count(*) - count(x) AS failed, {_DIST}
+FROM (SELECT *, {_FIN.format('similarity')} AS x FROM {_COSINES}) GROUP BY 1 HAVING count(*) >= 100""")
 def similarity_by_language(spark: SparkSession, d: str) -> DataFrame:
-    """Similarity per language (A2, A4)."""
-    return s.distribution(table(spark, d, "sim", "language", "similarity", "score_version").where("score_version = 2"), "similarity", ["language"]).where("n + failed >= 100")
+    """Similarity per folded language, version 1 scores on the cosine scale."""
+    df = cosines(spark, d, "language").withColumn("language", j.folded_language("language"))
+    return s.distribution(df, "similarity", ["language"]).where("n + failed >= 100")
 
 
 _BINS = """WITH v AS (SELECT {fin} AS x FROM {t}), l AS (SELECT CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo, CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS hi FROM v),
@@ -177,10 +185,10 @@ def hot_values(spark: SparkSession, d: str) -> DataFrame:
     return s.hot(table(spark, d, "llm_children_100k_asr_complete", "seq", "scenario"), "scenario", "seq", 800, 0.0125, 8)
 
 
-@query("SELECT ref_audio, count(*) AS items, count(*) FILTER (x > 0.8) AS passes, round(count(*) FILTER (x > 0.8) / count(*), 6) AS pass_rate, max(x) AS best, round(avg(x), 6) AS mean FROM (SELECT ref_audio, CASE WHEN isfinite(similarity) THEN similarity END AS x FROM sim WHERE score_version = 2) GROUP BY 1")
+@query("SELECT ref_audio, count(*) AS items, count(*) FILTER (x > 0.8) AS passes, round(count(*) FILTER (x > 0.8) / count(*), 6) AS pass_rate, max(x) AS best, round(avg(x), 6) AS mean FROM (SELECT ref_audio, CASE WHEN isfinite(similarity) THEN similarity END AS x FROM (SELECT ref_audio, CASE WHEN score_version = 1 THEN 2 * similarity - 1 ELSE similarity END AS similarity FROM sim)) GROUP BY 1")
 def reference_passes(spark: SparkSession, d: str) -> DataFrame:
     """Pass statistics per reference; partial sums are combined before the shuffle, so a hot reference is no hot task."""
-    return s.pass_rates(table(spark, d, "sim", "ref_audio", "similarity", "score_version").where("score_version = 2"), "ref_audio", "similarity", 0.8)
+    return s.pass_rates(cosines(spark, d, "ref_audio"), "ref_audio", "similarity", 0.8)
 
 
 @query("SELECT count(*) AS clips, count(DISTINCT ref_audio) AS refs, round(sum(speed), 6) AS total_speed, round(sum(similarity * speed) / sum(speed), 6) AS weighted FROM sim WHERE isfinite(similarity) AND speed > 0")
@@ -282,11 +290,10 @@ def repeated_ids(spark: SparkSession, d: str) -> DataFrame:
     return j.duplicated(table(spark, d, "llm_children_100k_asr_complete", "id"), "id")
 
 
-@query("SELECT cloned_audio AS wav, arg_max(similarity, (arrived_at, similarity)) FILTER (similarity IS NOT NULL) AS similarity FROM sim GROUP BY 1")
+@query("""SELECT cloned_audio AS wav, count(*) AS rows, arg_min(similarity, (coalesce(epoch_us(arrived_at), 9223372036854775807), -similarity)) FILTER (isfinite(similarity)) AS similarity FROM sim GROUP BY 1""")
 def first_of_conflicts(spark: SparkSession, d: str) -> DataFrame:
-    """One row per clip: the last arrived, then the larger."""
-    df = table(spark, d, "sim", "cloned_audio", "similarity", "arrived_at").groupBy(F.col("cloned_audio").alias("wav"))
-    return df.agg(F.max_by("similarity", F.when(F.col("similarity").isNotNull(), F.struct("arrived_at", "similarity"))).alias("similarity"))
+    """One row per clip: the first finite score to arrive, then the larger; null where no row has one."""
+    return j.first_finite(table(spark, d, "sim", F.col("cloned_audio").alias("wav"), "similarity", "arrived_at"), "wav", "similarity", "arrived_at")
 
 
 @query("""SELECT coalesce(CASE WHEN cloned_audio IS NULL THEN 'no audio' END, CASE WHEN similarity_metric IS DISTINCT FROM 'cosine' THEN 'metric' END, CASE WHEN score_version IS DISTINCT FROM 2 THEN 'version' END,
@@ -336,12 +343,21 @@ def hash_partition(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "reference_audio", "speaker_key").dropna().distinct().select("speaker_key", o.stable_hash(F.lit("seed"), "speaker_key", length=24).alias("h"), o.hash_worker("speaker_key", 7).alias("worker"))
 
 
-@query("SELECT id, 'gen_' || substr(md5('{\"emotion\": ' || coalesce('\"' || emotion || '\"', 'null') || ', \"text\": ' || '\"' || replace(replace(text, '\\', '\\\\'), '\"', '\\\"') || '\"}'), 1, 16) AS text_id FROM (SELECT DISTINCT id, emotion, text FROM llm_children_100k_asr_complete WHERE id IS NOT NULL AND NOT regexp_matches(text, '[\\x00-\\x1f]'))")
+def _json(c: str) -> str:
+    """A text as JSON has it: backslash, quote and control characters escaped."""
+    out = f"replace(replace({c}, '\\', '\\\\'), '\"', '\\\"')"
+    for code in range(1, 32):
+        short = {8: "b", 9: "t", 10: "n", 12: "f", 13: "r"}.get(code, f"u{code:04x}")
+        out = f"replace({out}, chr({code}), '\\{short}')"
+    return f"coalesce('\"' || {out} || '\"', 'null')"
+
+
+@query(f"""SELECT id, 'gen_' || substr(md5('{{"emotion": ' || {_json('emotion')} || ', "text": ' || {_json('text')} || '}}'), 1, 16) AS text_id FROM (SELECT DISTINCT id, emotion, text FROM llm_children_100k_asr_complete WHERE id IS NOT NULL)""")
 def text_ids(spark: SparkSession, d: str) -> DataFrame:
-    """Ids from the MD5 of a canonical JSON of emotion and text, as the SQL has them: only rows whose text is neither null nor holds a control character. All rows with the reference's fields: generated_text_ids, adult_text_ids."""
+    """Ids from the MD5 of a canonical JSON, of every distinct text (C12). The reference's fields: generated_text_ids, adult_text_ids."""
     from ..operators.contracts import canonical_json
 
-    df = table(spark, d, "llm_children_100k_asr_complete", "id", "emotion", "text").where("id is not null").where(~F.col("text").rlike(r"[\x00-\x1f]")).distinct()
+    df = table(spark, d, "llm_children_100k_asr_complete", "id", "emotion", "text").where("id is not null").distinct()
     return df.select("id", F.concat(F.lit("gen_"), F.substring(F.md5(canonical_json(["emotion", "text"])), 1, 16)).alias("text_id"))
 
 
