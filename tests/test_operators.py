@@ -88,7 +88,9 @@ def test_exact_dedup_modes(spark):
 def test_incremental(spark):
     rows = [(1, "今天我们去公园放风筝吧", "s"), (2, "今天我们去公园放风筝啦", "s"), (3, "今天我们去公园放风筝啦", "t"), (4, "完全不同的一句话在这里", "s"), (5, "！！", "s"), (6, "！！", "s")]
     df = spark.createDataFrame(rows, "seq int, text string, scenario string")
-    assert sorted(r[0] for r in dedup.incremental(df, "seq", "text", "seq", ("scenario",)).collect()) == [1, 4, 5, 6]
+    # 2 is near 1; its form was not kept, so another context may have it
+    assert sorted(r[0] for r in dedup.incremental(df, "seq", "text", "seq", ("scenario",)).collect()) == [1, 3, 4, 5, 6]
+    assert sorted(r[0] for r in dedup.incremental(df, "seq", "text", "seq", ("scenario",), retry=False).collect()) == [1, 4, 5, 6]
     assert difflib.SequenceMatcher(None, rows[0][1], rows[1][1]).ratio() > 0.52
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from ..session import written
 
 CONTEXT = ("scenario", "subscene", "emotion", "age_tier", "length_type", "lang_type")
 
@@ -41,89 +43,138 @@ def context_key(*cols: str) -> F.Column:
     return F.concat_ws("\1", *[F.coalesce(c, F.lit("")) for c in cols])
 
 
+COUNTERS = 1 << 16
+
+
 def similar_pairs(df: DataFrame, key: str, text: str, context: tuple[str, ...], least: float) -> DataFrame:
     """Pairs of one context whose sets of character pairs and Latin words have a Jaccard similarity of at least `least`: key_a, key_b, similarity.
 
-    Candidates meet in an element of their prefix: with elements ordered by hash, two sets of similarity s share one among the first
-    n - ceil(s n) + 1 of each. So no context is paired with itself as a whole.
+    Candidates meet in a rare element: with elements ordered by frequency, two sets of similarity s share one among the first
+    n - ceil(s n) + 1 of each. Frequencies come from COUNTERS hashed counters over all rows (one row, that is broadcast whatever the
+    data); they only set an order. Candidates also meet by size band: sizes of similar sets differ by less than 1 / s, so a row meets its
+    own band and the one below. So no context is paired with itself as a whole, and an element that many rows share is in few prefixes.
     """
     toks = t.let(t.bare_form(text), lambda bare: F.array_distinct(F.concat(t.grams(bare, 2), F.regexp_extract_all(bare, F.lit("[a-zA-Z]+"), F.lit(0)))))
     rows = df.select(F.col(key).alias("k"), context_key(*context).alias("c"), F.transform(toks, lambda x: F.xxhash64(x)).alias("s")).where(F.size("s") > 0)
-    rows = rows.withColumn("s", F.array_sort("s"))
-    prefix = F.slice("s", F.lit(1), (F.size("s") - F.ceil(F.size("s") * least).cast("int") + 1))
-    post = rows.select("k", "c", F.explode(prefix).alias("e"), F.size("s").alias("n"))
-    a, b = post.select(F.col("k").alias("key_a"), "c", "e", F.col("n").alias("na")), post.select(F.col("k").alias("key_b"), "c", "e", F.col("n").alias("nb"))
-    cand = a.join(b, ["c", "e"]).where((F.col("key_a") < F.col("key_b")) & (F.least("na", "nb") >= F.greatest("na", "nb") * least)).select("key_a", "key_b").distinct()
+    rows = written(rows)
+    slot = lambda x: F.pmod(x, F.lit(COUNTERS)).cast("int")
+    counts = rows.select(F.explode("s").alias("e")).groupBy(slot(F.col("e")).alias("i")).agg(F.count("*").alias("n"))
+    table = counts.agg(F.map_from_entries(F.collect_list(F.struct("i", "n"))).alias("_f"))  # one row of at most COUNTERS counts
+    by_rarity = F.transform(F.array_sort(F.transform("s", lambda x: F.struct(F.coalesce(F.element_at("_f", slot(x)), F.lit(0)).alias("n"), x.alias("x")))), lambda z: z["x"])
+    prefix = F.slice("o", F.lit(1), (F.size("s") - F.ceil(F.size("s") * least).cast("int") + 1))
+    band = F.floor(F.log(F.size("s").cast("double")) / math.log(1 / least) + 1e-9).cast("int")
+    post = rows.crossJoin(F.broadcast(table)).select("k", "c", "s", by_rarity.alias("o")).select("k", "c", F.explode(prefix).alias("e"), F.size("s").alias("n"), band.alias("b"))
+    a = post.select(F.col("k").alias("ka"), "c", "e", F.col("n").alias("na"), F.explode(F.array(F.col("b"), F.col("b") - 1)).alias("b"))
+    b = post.select(F.col("k").alias("kb"), "c", "e", F.col("n").alias("nb"), "b")
+    fits = (F.col("nb") < F.col("na")) | ((F.col("nb") == F.col("na")) & (F.col("kb") < F.col("ka")))
+    cand = a.join(b, ["c", "e", "b"]).where(fits & (F.col("nb") >= F.col("na") * least)).select(F.least("ka", "kb").alias("key_a"), F.greatest("ka", "kb").alias("key_b")).distinct()
     sa, sb = rows.select(F.col("k").alias("key_a"), F.col("s").alias("sa")), rows.select(F.col("k").alias("key_b"), F.col("s").alias("sb"))
     return cand.join(sa, "key_a").join(sb, "key_b").select("key_a", "key_b", t.jaccard(F.col("sa"), F.col("sb")).alias("similarity")).where(F.col("similarity") >= least)
 
 
 def greedy(df: DataFrame, key: str, text: str, seq: str, context: tuple[str, ...] = CONTEXT, least: float = 0.88) -> DataFrame:
-    """Semantic deduplication, first wins: a row is dropped if a kept earlier row of its context is similar.
+    """Semantic deduplication, first wins: a row is dropped if a kept earlier row of its context is similar. Equal seq: the smaller key is earlier.
 
-    Similar pairs are found by similar_pairs; which rows are kept then depends on pairs only, so each connected group of pairs (not each
-    context) is decided in order. Returns the kept keys; rows with an empty bare form are kept.
+    Decided in rounds over the edges of similar_pairs, without any group in one task: rows that no undecided earlier row is similar to
+    are kept, the rows similar to those are dropped, and both leave with their edges, until no edge is left. Returns the kept keys;
+    rows with an empty bare form are kept.
     """
     pairs = similar_pairs(df, key, text, context, least)
-    order = df.select(F.col(key).alias("k"), F.col(seq).cast("double").alias("q"))
-    p = pairs.join(order.withColumnsRenamed({"k": "key_a", "q": "qa"}), "key_a").join(order.withColumnsRenamed({"k": "key_b", "q": "qb"}), "key_b")
-    # an edge points from the earlier row to the later one
-    edges = p.select(F.when(F.col("qa") < F.col("qb"), F.col("key_a")).otherwise(F.col("key_b")).alias("early"), F.when(F.col("qa") < F.col("qb"), F.col("key_b")).otherwise(F.col("key_a")).alias("late"), F.least("qa", "qb").alias("q0"), F.greatest("qa", "qb").alias("q1"))
-    ctx = df.select(F.col(key).alias("early"), context_key(*context).alias("c"))
-
-    def decide(pdf: pd.DataFrame) -> pd.DataFrame:
-        gone: set = set()
-        before: dict = {}
-        for a, b in zip(pdf["early"], pdf["late"]):
-            before.setdefault(b, []).append(a)
-        for b in pdf.sort_values("q1")["late"].drop_duplicates():
-            if any(a not in gone for a in before[b]):
-                gone.add(b)
-        return pd.DataFrame({"gone": list(gone)}, dtype=object)
-
-    kind = df.schema[key].dataType.simpleString()
-    dropped = edges.join(ctx, "early").groupBy("c").applyInPandas(decide, f"gone {kind}")
-    return df.select(key).join(dropped.withColumnRenamed("gone", key), key, "left_anti")
+    order = df.select(F.col(key).alias("k"), F.struct(F.col(seq).alias("q"), F.col(key).alias("k")).alias("o"))
+    p = pairs.join(order.withColumnsRenamed({"k": "key_a", "o": "oa"}), "key_a").join(order.withColumnsRenamed({"k": "key_b", "o": "ob"}), "key_b")
+    first = F.col("oa") < F.col("ob")
+    edges = written(p.select(F.when(first, F.col("key_a")).otherwise(F.col("key_b")).alias("early"), F.when(first, F.col("key_b")).otherwise(F.col("key_a")).alias("late")))
+    dropped = None
+    while not edges.isEmpty():
+        roots = edges.select("early").distinct().join(edges.select(F.col("late").alias("early")).distinct(), "early", "left_anti")
+        gone = written(edges.join(roots, "early", "left_semi").select(F.col("late").alias("gone")).distinct())
+        edges = written(edges.join(gone.withColumnRenamed("gone", "early"), "early", "left_anti").join(gone.withColumnRenamed("gone", "late"), "late", "left_anti"))
+        dropped = gone if dropped is None else dropped.unionByName(gone)
+    kept = df.select(key)
+    return kept if dropped is None else kept.join(dropped.withColumnRenamed("gone", key), key, "left_anti")
 
 
 def near(a: str, b: str, sa: set, sb: set, ratio: float = 0.52) -> bool:
-    """The incremental test: lengths within 55 percent, shingles overlapping by 12, matching characters by `ratio`."""
+    """The incremental test: lengths within 55 percent, shingles overlapping by 12, matching characters by `ratio` (its upper bounds first)."""
     if abs(len(a) - len(b)) > 0.55 * max(len(a), len(b), 1):
         return False
     if sa and sb and len(sa & sb) < 0.12 * len(sa | sb):
         return False
-    return difflib.SequenceMatcher(None, a, b).ratio() >= ratio
+    m = difflib.SequenceMatcher(None, a, b)
+    return m.real_quick_ratio() >= ratio and m.quick_ratio() >= ratio and m.ratio() >= ratio
 
 
 def shingle_set(s: str) -> set[str]:
     return set(s) if len(s) <= 6 else {s[i : i + 3] for i in range(len(s) - 2)}
 
 
-def incremental(df: DataFrame, key: str, text: str, seq: str, context: tuple[str, ...] = CONTEXT, ratio: float = 0.52) -> DataFrame:
-    """Keys kept by the order-dependent near-duplicate filter: global first of each form, then, inside a context, not near a kept one. Empty forms are kept.
+class Kept:
+    """The kept forms of a context, found by their shingles: a form that shares none with another can't be near it."""
+
+    def __init__(self) -> None:
+        self.forms: list[tuple[str, set[str]]] = []
+        self.by: dict[str, list[int]] = {}
+
+    def near(self, f: str, s: set[str], ratio: float) -> bool:
+        seen = {i for x in s for i in self.by.get(x, ())}
+        return any(near(f, *self.forms[i][:1], s, self.forms[i][1], ratio) for i in sorted(seen))
+
+    def add(self, f: str, s: set[str]) -> None:
+        for x in s:
+            self.by.setdefault(x, []).append(len(self.forms))
+        self.forms.append((f, s))
+
 
-    A form whose first row is dropped as near is not tried again in another context (one global pass in order would).
+def incremental(df: DataFrame, key: str, text: str, seq: str, context: tuple[str, ...] = CONTEXT, ratio: float = 0.52, retry: bool = True) -> DataFrame:
+    """Keys kept by the order-dependent near-duplicate filter: a row is dropped if its form was kept before, in any context, or if it is near a form kept before in its own context. Empty forms are kept.
 
-    Sequential inside a context by definition, in one streaming pass per context (constant memory but for its kept forms).
+    Inside a context the filter is a sequence by definition (one pass per context, in order, in the memory of its kept forms, which are
+    found by shingles). Contexts depend on each other only through forms that stand in several of them: all contexts are decided side by
+    side; where a form was dropped as near in one, its next row in another is tried, and the contexts that this touches are decided
+    again, until nothing changes. retry=False leaves that out: only the first row of each form is tried.
     """
-    rows = df.select(F.col(key).alias("k"), F.col(seq).alias("q"), context_key(*context).alias("c"), t.dedup_form(text).alias("f"))
-    rows = rows.withColumn("f", F.coalesce("f", F.lit("")))
-    first = _firsts(rows.where("f <> ''"), "f", "q").select("k", "q", "c", "f").unionByName(rows.where("f = ''"))
+    rows = df.select(F.col(key).alias("k"), F.col(seq).alias("q"), context_key(*context).alias("c"), F.coalesce(t.dedup_form(text), F.lit("")).alias("f"))
     kind = df.schema[key].dataType.simpleString()
+    full = rows.where("f <> ''")
+    # one row per form and context: what is near for the first is near for all, and what is kept drops all others
+    each = full.groupBy("c", "f").agg(F.min(F.struct("q", "k")).alias("m")).select("m.k", "m.q", "c", "f")
+    many = each.groupBy("f").agg(F.count("*").alias("n")).where("n > 1").select("f")
+    schema = f"k {kind}, f string, c string, kept boolean"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, kept = None, []
+        now, kept = None, Kept()
         for pdf in batches:
             out = []
             for k, c, f in zip(pdf["k"], pdf["c"], pdf["f"]):
                 if c != now:
-                    now, kept = c, []
+                    now, kept = c, Kept()
                 s = shingle_set(f)
-                if f and any(near(f, g, s, u, ratio) for g, u in kept):
-                    continue
-                if f:
-                    kept.append((f, s))
-                out.append(k)
-            yield pd.DataFrame({key: out}, dtype=object)
-
-    return first.repartition("c").sortWithinPartitions("c", "q").select("k", "c", "f").mapInPandas(run, f"`{key}` {kind}")
+                ok = not kept.near(f, s, ratio)
+                if ok:
+                    kept.add(f, s)
+                out.append((k, f, c, ok))
+            yield pd.DataFrame(out, columns=["k", "f", "c", "kept"])
+
+    def decided(tried: DataFrame) -> DataFrame:
+        return written(tried.repartition("c").sortWithinPartitions("c", "q", "k").select("k", "c", "f").mapInPandas(run, schema))
+
+    first = each.groupBy("f").agg(F.min(F.struct("q", "k", "c")).alias("m")).select("f", F.col("m.c").alias("c"))
+    tried = written(each.join(first, ["f", "c"], "left_semi"))
+    got = decided(tried)
+    while retry:
+        # of the forms in several contexts: rows up to the first kept one are tried
+        state = each.join(many, "f", "left_semi").join(got.select("f", "c", "kept"), ["f", "c"], "left")
+        upto = state.groupBy("f").agg(F.min(F.when(F.col("kept"), F.struct("q", "k"))).alias("stop"), F.max(F.when(F.col("kept").isNotNull(), F.struct("q", "k"))).alias("seen"))
+        next_ = state.where("kept is null").groupBy("f").agg(F.min(F.struct("q", "k")).alias("next"))
+        wish = state.join(upto, "f").join(next_, "f", "left").where(
+            F.when(F.col("stop").isNotNull(), F.struct("q", "k") <= F.col("stop")).otherwise(F.col("kept").isNotNull() | (F.struct("q", "k") == F.col("next")))
+        ).select("k", "q", "c", "f")
+        alone = each.join(many, "f", "left_anti").select("k", "q", "c", "f")
+        now = written(wish.unionByName(alone))
+        changed = written(now.join(tried, ["f", "c"], "left_anti").select("c").unionByName(tried.join(now, ["f", "c"], "left_anti").select("c")).distinct())
+        if changed.isEmpty():
+            break
+        again = decided(now.join(changed, "c", "left_semi"))
+        got = written(got.join(changed, "c", "left_anti").unionByName(again))
+        tried = now
+    return got.where("kept").select(F.col("k").alias(key)).unionByName(rows.where("f = ''").select(F.col("k").alias(key)))

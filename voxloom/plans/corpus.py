@@ -77,8 +77,9 @@ def context_pairs(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def dedup_semantic(spark: SparkSession, d: str) -> DataFrame:
     """Greedy first-wins deduplication in a context."""
-    df = table(spark, d, POOL, "id", "text", "seq", *dd.CONTEXT).where("id is not null").dropDuplicates(["id"])
-    return dd.greedy(df, "id", "text", "seq")
+    df = table(spark, d, POOL, "id", "text", "seq", *dd.CONTEXT).where("id is not null")
+    once = df.groupBy("id").agg(F.min(F.struct("seq", "text", *dd.CONTEXT)).alias("m")).select("id", "m.*")  # rows of one id: the first
+    return dd.greedy(once, "id", "text", "seq")
 
 
 @query()

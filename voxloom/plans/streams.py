@@ -2,28 +2,16 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
 from ..streaming import streams as st
 from .registry import query
 
 
 def _folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; a local one only where that is unset and the master is local."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        named = "file://" + os.path.join(tempfile.gettempdir(), "voxloom-shared")
-    path = f"{named}/voxloom/stream-{uuid.uuid4().hex}"
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
-    return path
+    return shared_folder(spark, "stream")
 
 
 def _stream(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -38,6 +26,15 @@ def stream_event_windows(spark: SparkSession, d: str) -> DataFrame:
     return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", "total")
 
 
+@query("""WITH e AS (SELECT *, time_bucket(INTERVAL 1 HOUR, ts) AS start FROM events), m AS (SELECT max(ts) - INTERVAL 10 MINUTE AS upto FROM events)
+SELECT start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM e, m WHERE start + INTERVAL 1 HOUR <= date_trunc('millisecond', upto) GROUP BY ALL""")
+def stream_closed_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Hourly counts in append mode: a window comes once the watermark has passed it, and its state is dropped then."""
+    ev = _stream(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    out = st.drained(st.event_windows(ev), _folder(spark))
+    return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", "total")
+
+
 @query("SELECT replace(lower(trim(dataset)), '-', '_') AS dataset, sum(substitutions + insertions + deletions)::BIGINT AS operations, sum(reference_chars)::BIGINT AS characters FROM eval WHERE cer IS NOT NULL AND reference_chars > 0 GROUP BY 1")
 def stream_error_rate(spark: SparkSession, d: str) -> DataFrame:
     """Running sums of the evaluation stream."""
@@ -46,7 +43,7 @@ def stream_error_rate(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def stream_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
-    """Incremental near-duplicate filter with state per context (D3)."""
+    """Incremental near-duplicate filter with state per context (D3); a form that was dropped as near isn't tried again in another context, which only the batch form does."""
     return st.drained(st.near_duplicates(_stream(spark, d, "llm_children_100k_asr_complete"), "id", "text", "seq"), _folder(spark))
 
 

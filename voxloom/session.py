@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -42,6 +43,29 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def shared_folder(spark: SparkSession, kind: str = "table") -> str:
+    """A new folder below the one that the cluster names in spark.checkpoint.dir, to be deleted as the session ends; a local one only where that is unset and the master is local (tests)."""
+    sc = spark.sparkContext
+    set_ = sc._jsc.sc().getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or (set_.get() if set_.isDefined() else None)
+    if not named:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        named = "file://" + os.path.join(tempfile.gettempdir(), "voxloom-shared")
+        sc.setCheckpointDir(named)
+    path = f"{named}/voxloom/{kind}-{uuid.uuid4().hex}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Cuts the lineage: writes df as a table into the shared folder and reads it again."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship(spark: SparkSession) -> None:
     """Makes the package importable in Python workers: it is sent along unless they find it already (installed, or on their path). Once per application."""
     sc = spark.sparkContext
