@@ -111,8 +111,58 @@ def test_durations_and_quota(spark):
     assert got["a"]["meets"] is True and got["b"]["deficit"] >= 0
     q = spark.createDataFrame([("u", i, 4) for i in range(5)], "u string, i int, v int")
     assert quota.until_quota(q, "u", ["i"], "v", 8).count() == 2
+
+
+@pytest.mark.parametrize("texts", [1, 2, 7, 12, 100, 30030])
+def test_walk_visits_all_texts(spark, texts):
+    import hashlib
+    import math
+
+    def walked(key, refs, o):
+        h = lambda name: int(hashlib.sha256(f"{name}\0{key}".encode()).hexdigest()[:24], 16)
+        offset, step = (0, 1) if texts == 1 else (h("text-offset") % texts, 1 + h("text-step") % (texts - 1))
+        while math.gcd(step, texts) != 1:
+            step = 1 + step % (texts - 1)
+        return o % refs, (offset + o % refs + o // refs * step) % texts
+
+    rows = [(k, refs, o) for k, refs in (("a/1", 1), ("b/2", 3), ("c", 5)) for o in (*range(40), 10**6)]
+    got = quota.walk(spark.createDataFrame(rows, "k string, refs int, o bigint"), "k", "refs", "o", texts).collect()
+    assert {(r["k"], r["o"]): (r["ref_index"], r["text_index"]) for r in got} == {(k, o): walked(k, refs, o) for k, refs, o in rows}
+    if texts <= 30:
+        assert {r["text_index"] for r in got if r["k"] == "a/1"} == set(range(texts))
+
+
+def test_walk_needs_texts(spark):
     with pytest.raises(ValueError):
-        quota.walk(q, "u", "v", 4, 2)
+        quota.text_walk("k", 0)
+
+
+def test_nearest_by_blocks(spark, monkeypatch):
+    import numpy as np
+
+    rnd = np.random.default_rng(1)
+    vecs = rnd.normal(size=(120, 8))
+    vecs[7] = 0
+    df = spark.createDataFrame([(i, [float(x) for x in v], "ab"[i % 2] if i % 17 else None) for i, v in enumerate(vecs)], "id int, v array<double>, g string")
+    want = {}
+    for i in range(0, 120, 20):
+        cos = [(-round(float(vecs[i] @ vecs[j] / np.linalg.norm(vecs[i]) / np.linalg.norm(vecs[j])), 6), j) for j in range(120) if j != i and i % 17 and j % 17 and i % 2 == j % 2 and j != 7]
+        want[i] = [j for _, j in sorted(cos)[:3]]
+    for block in (7, 1000):
+        monkeypatch.setattr(batching, "BLOCK", block)
+        got = {}
+        for r in batching.nearest(df, "id", "v", "g", 3).orderBy(F.desc("cosine"), "vec_id").collect():
+            got.setdefault(r["query_id"], []).append(r["vec_id"])
+        assert got == {k: v for k, v in want.items() if v}
+
+
+def test_tree_fingerprint_grows(spark, monkeypatch):
+    df = spark.createDataFrame([(str(i),) for i in range(3000)], "v string")
+    monkeypatch.setattr(stats, "LEAF", 2)
+    deep = stats.tree_fingerprint(df.repartition(3), "v").first()
+    assert deep == stats.tree_fingerprint(df.orderBy("v"), "v").first() and deep["n"] == 3000
+    assert deep["fingerprint"] != stats.tree_fingerprint(df.where("v <> '7'"), "v").first()["fingerprint"]
+    assert stats.tree_fingerprint(df.limit(0), "v").first()["n"] == 0
 
 
 def test_top_per_group_and_choice(spark):

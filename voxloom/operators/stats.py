@@ -22,8 +22,9 @@ def distribution(df: DataFrame, value: str, by: list[str] | None = None, levels:
     x = finite(value)
     r = lambda c, name: F.round(c, digits).alias(name)
     aggs = [F.count(x).alias("n"), F.count_if(x.isNull()).alias("failed"), r(F.avg(x), "mean"), r(F.stddev_pop(x), "std"), F.min(x).alias("min"), F.max(x).alias("max")]
-    aggs += [r(F.percentile(x, p), f"p{round(p * 100)}") for p in levels]
-    return df.groupBy(*(by or [])).agg(*aggs)
+    # one map of counted values gives all levels
+    got = df.groupBy(*(by or [])).agg(*aggs, F.percentile(x, F.array(*map(F.lit, levels))).alias("_p"))
+    return got.select(*(by or []), "n", "failed", "mean", "std", "min", "max", *[r(F.col("_p")[k], f"p{round(p * 100)}") for k, p in enumerate(levels)])
 
 
 def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
@@ -76,11 +77,21 @@ def list_fingerprint(df: DataFrame, value: str) -> DataFrame:
     return one.agg(F.coalesce(F.max("fingerprint"), F.sha2(F.lit("").cast("binary"), 256)).alias("fingerprint"), F.coalesce(F.max("n"), F.lit(0)).alias("n"))
 
 
-def tree_fingerprint(df: DataFrame, value: str, slices: int = 256) -> DataFrame:
-    """Order-free fingerprint of any size: values are hashed into slices, each slice's sorted hash list is hashed, then the slices' hashes in order."""
+LEAF = 4096  # values that a leaf of a fingerprint's tree is meant to hold
+
+
+def tree_fingerprint(df: DataFrame, value: str) -> DataFrame:
+    """Order-free fingerprint of any size: values are hashed; a leaf of the tree is the sorted hashes that begin with the same hex digits (two at least, as many more as leaves of LEAF values need), hashed; a node is the hash of its up to sixteen children in order, up to the root."""
     h = F.sha2(F.col(value).cast("string"), 256)
-    parts = df.where(F.col(value).isNotNull()).select(F.substring(h, 1, 2).alias("s"), h.alias("h")).groupBy("s").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("p"), F.count("*").alias("c"))
-    return parts.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("s", "p"))), lambda x: x["p"]), ""), 256).alias("fingerprint"), F.coalesce(F.sum("c"), F.lit(0)).alias("n"))
+    rows = df.where(F.col(value).isNotNull()).select(h.alias("h"))
+    n, digits = rows.count(), 2
+    while n > LEAF * 16**digits:
+        digits += 1
+    nodes = rows.groupBy(F.substring("h", 1, digits).alias("s")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("p"), F.count("*").alias("c"))
+    joined = F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("s", "p"))), lambda x: x["p"]), ""), 256).alias("p")
+    for k in range(digits - 1, 0, -1):
+        nodes = nodes.groupBy(F.substring("s", 1, k).alias("s")).agg(joined, F.sum("c").alias("c"))
+    return nodes.agg(joined.alias("fingerprint"), F.coalesce(F.sum("c"), F.lit(0)).alias("n"))
 
 
 def hot(df: DataFrame, value: str, seq: str, window: int, share: float, limit: int) -> DataFrame:

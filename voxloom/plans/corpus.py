@@ -120,19 +120,36 @@ def length_buckets(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents", "n_chars").groupBy(v.bucket(F.col("n_chars").cast("double"), 10, 1500, 20).alias("bucket")).agg(F.count("*").alias("n"))
 
 
-@query()
+_BUCKET = " + ".join(f"(x > {10 + 1490 * k / 20})::INT" for k in range(1, 20))
+
+
+@query("SELECT bucket, 0 AS part, unnest(ids) AS doc_id, unnest(f.out) AS batch FROM (SELECT bucket, ids, list_reduce(xs, lambda a, x: CASE WHEN greatest(a.top, x) * (a.n + 2) >= 20000 OR a.n + 1 >= 32 "
+       "THEN {'top': 0.0::DOUBLE, 'n': 0, 'b': a.b + 1, 'out': list_append(a.out, a.b)} ELSE {'top': greatest(a.top, x), 'n': a.n + 1, 'b': a.b, 'out': list_append(a.out, a.b)} END, {'top': 0.0::DOUBLE, 'n': 0, 'b': 0, 'out': []::INT[]}) AS f "
+       f"FROM (SELECT {_BUCKET} AS bucket, list(doc_id ORDER BY doc_id) AS ids, list(x ORDER BY doc_id) AS xs FROM (SELECT doc_id, n_chars::DOUBLE AS x FROM documents) WHERE x BETWEEN 10 AND 1500 GROUP BY 1))")
 def bucket_batches(spark: SparkSession, d: str) -> DataFrame:
     """Length-bucket batches under a budget (B1)."""
     return b.bucketed(table(spark, d, "documents", "doc_id", F.col("n_chars").cast("double").alias("length")), "doc_id", "length", "doc_id", 10, 1500, 20, 20000, 32)
 
 
-@query()
+_FIT = "list_reduce(xs, lambda a, x: CASE WHEN a.used + x > {0} {1} THEN {{'used': x, 'n': a.n + 1, 'out': list_append(a.out, a.n + 1)}} ELSE {{'used': a.used + x, 'n': a.n, 'out': list_append(a.out, a.n)}} END, {{'used': 0.0::DOUBLE, 'n': 0, 'out': []::INT[]}})"
+
+
+@query(f"SELECT 0 AS part, unnest(ids) AS doc_id, unnest(f.out) AS pack FROM (SELECT ids, {_FIT.format(4000, '')} AS f FROM (SELECT list(doc_id ORDER BY doc_id) AS ids, list(x ORDER BY doc_id) AS xs FROM (SELECT doc_id, n_chars::DOUBLE AS x FROM documents WHERE n_chars <= 4000)))")
 def packed(spark: SparkSession, d: str) -> DataFrame:
-    """Next-fit packing by length, per slice (B2)."""
-    return b.packed(table(spark, d, "documents", "doc_id", F.col("n_chars").cast("double").alias("length")), "doc_id", "length", "doc_id", 4000, 8)
+    """Next-fit packing by length (B2)."""
+    return b.packed(table(spark, d, "documents", "doc_id", F.col("n_chars").cast("double").alias("length")), "doc_id", "length", "doc_id", 4000)
 
 
-@query()
+@query(f"""WITH p AS (SELECT unnest(ids) AS doc_id, unnest(xs) AS x, unnest(f.out) AS pack FROM (SELECT ids, xs, {_FIT.format(4000, '')} AS f FROM (SELECT list(doc_id ORDER BY doc_id) AS ids, list(x ORDER BY doc_id) AS xs FROM (SELECT doc_id, n_chars::DOUBLE AS x FROM documents WHERE n_chars <= 4000))))
+SELECT doc_id, pack, row_number() OVER w - 1 AS document, coalesce(sum(x) OVER (PARTITION BY pack ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS start FROM p WINDOW w AS (PARTITION BY pack ORDER BY doc_id)""")
+def pack_positions(spark: SparkSession, d: str) -> DataFrame:
+    """Document numbers and positions inside packs."""
+    docs = table(spark, d, "documents", "doc_id", F.col("n_chars").cast("double").alias("length"))
+    packs = b.packed(docs, "doc_id", "length", "doc_id", 4000).join(docs, "doc_id")
+    return b.positions(packs, "doc_id", "length", ["part", "pack"], "doc_id").select("doc_id", "pack", "document", F.col("start").cast("double").alias("start"))
+
+
+@query(f"SELECT 0 AS range, unnest(ids) AS doc_id, unnest(f.out) AS cluster FROM (SELECT ids, {_FIT.format(20000, 'AND a.used <> 0')} AS f FROM (SELECT list(doc_id ORDER BY x DESC, doc_id) AS ids, list(x ORDER BY x DESC, doc_id) AS xs FROM (SELECT doc_id, n_chars::DOUBLE AS x FROM documents WHERE n_chars IS NOT NULL)))")
 def duration_clusters(spark: SparkSession, d: str) -> DataFrame:
     """Clusters of similar length under a budget."""
     return b.clustered(table(spark, d, "documents", "doc_id", F.col("n_chars").cast("double").alias("length")), "doc_id", "length", 20000)

@@ -171,8 +171,9 @@ def list_fingerprint(spark: SparkSession, d: str) -> DataFrame:
     return s.list_fingerprint(table(spark, d, "eval", "wav").dropna().distinct(), "wav")
 
 
-@query("""WITH h AS (SELECT sha256(wav) AS h FROM (SELECT DISTINCT wav FROM eval WHERE wav IS NOT NULL)), p AS (SELECT substr(h, 1, 2) AS s, sha256(string_agg(h, '' ORDER BY h)) AS p, count(*) AS c FROM h GROUP BY 1)
-SELECT sha256(string_agg(p, '' ORDER BY s)) AS fingerprint, sum(c)::BIGINT AS n FROM p""")
+@query("""WITH h AS (SELECT sha256(wav) AS h FROM (SELECT DISTINCT wav FROM eval WHERE wav IS NOT NULL)), p AS (SELECT substr(h, 1, 2) AS s, sha256(string_agg(h, '' ORDER BY h)) AS p, count(*) AS c FROM h GROUP BY 1),
+q AS (SELECT substr(s, 1, 1) AS s, sha256(string_agg(p, '' ORDER BY s)) AS p, sum(c) AS c FROM p GROUP BY 1)
+SELECT sha256(string_agg(p, '' ORDER BY s)) AS fingerprint, sum(c)::BIGINT AS n FROM q""")
 def tree_fingerprint(spark: SparkSession, d: str) -> DataFrame:
     """Order-free fingerprint that no single task has to hold (A20 at scale)."""
     return s.tree_fingerprint(table(spark, d, "eval", "wav").dropna().distinct(), "wav")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import io
+import re
+import struct
 import tarfile
-import wave
 from collections.abc import Iterator
 
 import pandas as pd
@@ -110,37 +110,77 @@ def speakers(paths: DataFrame, column: str, root: str) -> DataFrame:
     return paths.where(F.col(column).startswith(root.rstrip("/") + "/") & (F.size(rest) >= 3)).select(rest[0].alias("dataset"), rest[1].alias("speaker")).distinct()
 
 
+def _files(spark: SparkSession, root: str, glob: str) -> DataFrame:
+    """Paths of the files below a root: a listing only, no content is read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root).select("path")
+
+
+def _opened(path: str):
+    """A file of any file system that Arrow knows, to be read where one likes."""
+    from pyarrow import fs
+
+    system, name = fs.FileSystem.from_uri(path if "://" in path else re.sub("^file:/*", "file:///", path))
+    return system.open_input_file(name)
+
+
+def wav_header(f) -> tuple[int, int]:
+    """(frames, sample rate) of an open RIFF file: its chunks are skipped through, samples aren't read."""
+    size = f.size()
+    head = f.read(12)
+    if len(head) < 12 or head[:4] != b"RIFF" or head[8:] != b"WAVE":
+        raise ValueError("no WAV file")
+    rate, frame = 0, 0
+    while f.tell() + 8 <= size:
+        name, length = struct.unpack("<4sI", f.read(8))
+        if name == b"fmt ":
+            _, channels, rate, _, _, bits = struct.unpack("<HHIIHH", f.read(16))
+            frame = channels * ((bits + 7) // 8)
+            f.seek(f.tell() + length - 16 + length % 2)
+        elif name == b"data":
+            if not frame:
+                raise ValueError("samples before their format")
+            return min(length, size - f.tell()) // frame, rate
+        else:
+            f.seek(f.tell() + length + length % 2)
+    raise ValueError("no samples")
+
+
 def wav_headers(spark: SparkSession, root: str, glob: str = "*.wav") -> DataFrame:
-    """path, frames, sample_rate, error of WAV files; only what the header says, a broken or empty file has an error."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root).select("path", "content")
+    """path, frames, sample_rate, error of WAV files; only headers are read, a broken or empty file has an error."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for path, content in zip(pdf["path"], pdf["content"]):
+            for path in pdf["path"]:
                 try:
-                    with wave.open(io.BytesIO(content)) as w:
-                        n, r = w.getnframes(), w.getframerate()
+                    with _opened(path) as f:
+                        n, r = wav_header(f)
                     out.append((path, n, r, None if n > 0 and r > 0 else "no frames"))
-                except (wave.Error, EOFError) as e:
+                except (ValueError, OSError, struct.error) as e:
                     out.append((path, None, None, str(e) or "broken"))
             yield pd.DataFrame(out, columns=["path", "frames", "sample_rate", "error"]).astype({"frames": "Int64", "sample_rate": "Int64"})
 
-    return files.mapInPandas(run, "path string, frames bigint, sample_rate bigint, error string")
+    return _files(spark, root, glob).mapInPandas(run, "path string, frames bigint, sample_rate bigint, error string")
 
 
-def tar_members(spark: SparkSession, root: str, glob: str = "*.tar") -> DataFrame:
-    """shard, key, ext, data of the members of tar shards, one task per shard; members come in the shard's order."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root).select("path", "content")
+def tar_members(spark: SparkSession, root: str, glob: str = "*.tar", held: int = 64 << 20) -> DataFrame:
+    """shard, key, ext, data of the members of tar shards, one task per shard; members come in the shard's order. A shard is streamed: at most `held` bytes of members are in memory at a time (or one member)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                with tarfile.open(fileobj=io.BytesIO(content)) as tar:
-                    rows = [(path, *m.name.rpartition(".")[::2], tar.extractfile(m).read()) for m in tar if m.isfile()]
+            for path in pdf["path"]:
+                rows, size = [], 0
+                with _opened(path) as f, tarfile.open(fileobj=f, mode="r|") as tar:
+                    for m in tar:
+                        if m.isfile():
+                            rows.append((path, *m.name.rpartition(".")[::2], tar.extractfile(m).read()))
+                            size += m.size
+                        if size >= held:
+                            yield pd.DataFrame(rows, columns=["shard", "key", "ext", "data"])
+                            rows, size = [], 0
                 yield pd.DataFrame(rows, columns=["shard", "key", "ext", "data"])
 
-    return files.mapInPandas(run, "shard string, key string, ext string, data binary")
+    return _files(spark, root, glob).mapInPandas(run, "shard string, key string, ext string, data binary")
 
 
 def shuffled_shards(shards: DataFrame, url: str, epoch: int, rank: int = 0, ranks: int = 1) -> DataFrame:
