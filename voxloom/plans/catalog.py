@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import campaign, corpus, metrics, quality, streams, tasks, voices  # noqa: F401
+from . import campaign, corpus, metrics, quality, records, streams, tasks, voices  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
