@@ -20,15 +20,19 @@ def first_finite(df: DataFrame, key: str, value: str, at: str) -> DataFrame:
 
 
 def folded_language(c: str | Column) -> Column:
-    """Language of a label: mixed kinds by what they mostly are, null as unknown."""
+    """Language of a label: mixed kinds by what they mostly are, null and empty as unknown."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.when(c == "en_mostly", "en").when(c.isin("cn_mostly", "frequent_mix"), "zh").otherwise(F.coalesce(c, F.lit("unknown")))
+    return F.when(c == "en_mostly", "en").when(c.isin("cn_mostly", "frequent_mix"), "zh").otherwise(F.coalesce(F.nullif(c, F.lit("")), F.lit("unknown")))
 
 
-def cloning_language(c: str | Column, known: tuple[str, ...]) -> Column:
-    """Language to speak in: the folded label where it is one of the known codes, else zh."""
-    low = F.lower(F.trim(folded_language(c)))
-    return F.when(low.isin(*known), low).otherwise("zh")
+# Languages that texts are spoken in.
+SPOKEN = ("zh", "en", "ja", "de", "fr", "es", "ko", "ar", "ru", "pt", "it")
+
+
+def cloning_language(c: str | Column, known: tuple[str, ...] = SPOKEN) -> Column:
+    """Language to speak in: the folded label where it is one of the known codes, else zh."""
+    folded = folded_language(c)
+    return F.when(folded.isin(*known), folded).otherwise("zh")
 
 
 def conflicts(df: DataFrame, key: str, value: str, equal: list[str], tolerance: float) -> DataFrame:

@@ -22,6 +22,14 @@ def exact_durations(df: DataFrame, key: str, target_seconds: int, scale: int = S
     return out.select(key, "numerator", F.lit(scale).alias("denominator"), (F.col("numerator").cast("double") / scale).alias("seconds"), "files", F.greatest(F.lit(0).cast("decimal(38,0)"), goal - F.col("numerator")).alias("deficit"), (F.col("numerator") >= goal).alias("meets"))
 
 
+def inventories(original: DataFrame, clips: DataFrame, key: str, seconds: str, flavours: dict[str, Column], digits: int = 4) -> DataFrame:
+    """Files and seconds per speaker of the original inventory and of each flavour of the clips (a condition each), all flavours in one pass; zeros where a speaker has none, clips of unknown speakers are left out."""
+    own = original.groupBy(key).agg(F.count("*").alias("original"), F.round(F.sum(seconds), digits).alias("original_seconds"))
+    aggs = [x for k, c in flavours.items() for x in (F.count_if(c).alias(k), F.round(F.sum(F.when(c, F.col(seconds)).otherwise(F.lit(0.0))), digits).alias(f"{k}_seconds"))]
+    out = own.join(clips.groupBy(key).agg(*aggs), key, "left")
+    return out.fillna(0, [c for c in out.columns if c != key])
+
+
 def top_references(refs: DataFrame, history: DataFrame, limit: int) -> DataFrame:
     """speaker_key, ref_audio, rank: the best passed references, else the best observed ones, else all. history: ref_audio, n, p(asses), b(est), m(ean)."""
     j = refs.join(history, "ref_audio", "left")

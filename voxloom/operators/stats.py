@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 LEVELS = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 
@@ -102,6 +103,41 @@ def hot(df: DataFrame, value: str, seq: str, window: int, share: float, limit: i
     return counts.crossJoin(F.broadcast(n)).where(F.col("n") >= F.greatest(F.lit(3), F.floor(F.col("_n") * share))).select("value", "n")
 
 
+def hot_patterns(df: DataFrame, text: str, seq: str, words: dict[str, tuple[str, ...]], window: int = 800, least: int = 40, limits: dict[str, tuple[float, int]] | None = None) -> DataFrame:
+    """family, value, n of the patterns of the last `window` rows: openings (four characters of the form for duplicate checks), tags, and the word lists given (a row counts a word once).
+
+    limits: per family the share of rows and the number of values; of the most frequent values (ties: the first seen) those of at least
+    max(3, share of rows) rows are hot. Fewer than `least` rows in all have none. The window is `window` rows, wherever they lie.
+    """
+    from ..functions import text as t
+
+    limits = limits or {"opening": (0.0125, 8), "tag": (0.04, 5), "filler": (0.03, 8), "object": (0.025, 8), "phrase": (0.015, 6)}
+    last = df.where(F.col(seq).isNotNull()).orderBy(F.desc(seq)).limit(window).select(F.col(seq).alias("q"), F.coalesce(text, F.lit("")).alias("t"))
+    n = last.agg(F.count("*").alias("_n")).where(F.col("_n") >= least)
+    form, low = t.dedup_form("t"), F.lower("t")
+    entry = lambda family, value, k: F.struct(F.lit(family).alias("family"), value.alias("value"), k.alias("k"))
+    found = [F.when(F.char_length(form) >= 3, F.array(entry("opening", F.substring(form, 1, 4), F.lit(0))))]
+    found.append(F.transform(F.regexp_extract_all("t", F.lit(r"\[([^\]]+)\]"), F.lit(1)), lambda x, i: entry("tag", x, i)))
+    for family, names in words.items():
+        found.append(F.array_compact(F.array(*[F.when(low.contains(w.lower()), entry(family, F.lit(w), F.lit(i))) for i, w in enumerate(names)])))
+    none = F.array().cast("array<struct<family:string,value:string,k:int>>")
+    each = last.select("q", F.explode(F.flatten(F.array(*[F.coalesce(x, none) for x in found]))).alias("e")).select("q", "e.*")
+    counted = each.groupBy("family", "value").agg(F.count("*").alias("n"), F.min(F.struct("q", "k")).alias("first"))
+    ranked = counted.withColumn("r", F.row_number().over(W.partitionBy("family").orderBy(F.desc("n"), "first")))  # of at most `window` rows
+    rules = df.sparkSession.createDataFrame([(k, float(a), b) for k, (a, b) in limits.items()], "family string, share double, most int")
+    return ranked.join(F.broadcast(rules), "family").crossJoin(F.broadcast(n)).where((F.col("r") <= F.col("most")) & (F.col("n") >= F.greatest(F.lit(3), F.floor(F.col("share") * F.col("_n"))))).select("family", "value", "n")
+
+
+def cold_tags(df: DataFrame, text: str, seq: str, names: tuple[str, ...], window: int = 5000, least: int = 50) -> DataFrame:
+    """tag, n of the known tags that fewer than max(2, a fiftieth of the tagged rows) of the last rows hold; none where no more than `least` rows are tagged."""
+    last = df.where(F.col(seq).isNotNull()).orderBy(F.desc(seq)).limit(window).select(F.col(text).alias("t"))
+    tagged = last.agg(F.count_if(F.col("t").contains("[")).alias("_n")).where(F.col("_n") > least)
+    counts = last.select(F.explode(F.regexp_extract_all("t", F.lit(r"\[([^\]]+)\]"), F.lit(1))).alias("tag")).groupBy("tag").agg(F.count("*").alias("n"))
+    known = df.sparkSession.createDataFrame([(x,) for x in names], "tag string")
+    out = known.join(F.broadcast(counts), "tag", "left").select("tag", F.coalesce("n", F.lit(0)).alias("n"))
+    return out.crossJoin(F.broadcast(tagged)).where(F.col("n") < F.greatest(F.lit(2), F.expr("_n div 50"))).select("tag", "n")
+
+
 def pass_rates(df: DataFrame, key: str, score: str, least: float) -> DataFrame:
     """Per reference: items, passes (strictly above), pass rate, max and mean score."""
     x = finite(score)

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from ..operators import ordering as o
 from ..operators import quota as q
 from ..session import table
-from .metrics import _CER, _COSINES, _SIM, cer, cosines, sim
+from .metrics import _CER, _COSINES, _MOS, _SIM, cer, cosines, mos, sim
 from .registry import query
 
 _POOL = "llm_children_100k_asr_complete"
@@ -29,17 +29,31 @@ def speaker_deficit(spark: SparkSession, d: str) -> DataFrame:
     return q.exact_durations(_refs(spark, d), "speaker_key", 60).select("speaker_key", F.col("numerator").cast("double").alias("numerator"), F.col("denominator"), "seconds", "files", F.col("deficit").cast("double").alias("deficit"), "meets")
 
 
-@query(f"""SELECT speaker_key, coalesce(o.n, 0) AS original, coalesce(g.n, 0) AS generated, coalesce(a.n, 0) AS accepted FROM (SELECT DISTINCT speaker_key FROM {_REF}) s
-LEFT JOIN (SELECT speaker_key, count(*) AS n FROM {_REF} GROUP BY 1) o USING (speaker_key) LEFT JOIN (SELECT split_part(wav, '/', 4) || '/' || split_part(wav, '/', 5) AS speaker_key, count(*) AS n FROM {_SIM} GROUP BY 1) g USING (speaker_key)
-LEFT JOIN (SELECT split_part(wav, '/', 4) || '/' || split_part(wav, '/', 5) AS speaker_key, count(*) AS n FROM {_SIM} s JOIN {_CER} c USING (wav) WHERE similarity > 0.8 AND cer < 0.1 GROUP BY 1) a USING (speaker_key)""")
+_REF_SECS = f"(SELECT ref_audio, max({_SECS}) AS x FROM {_REF} GROUP BY 1)"
+_CLIP = f"""(SELECT c.wav AS wav, split_part(c.wav, '/', 4) || '/' || split_part(c.wav, '/', 5) AS speaker_key, coalesce(x / p.speed, 0) AS x, s.similarity > 0.8 AND e.cer < 0.1 AS ok, s.similarity > 0.8 AND e.cer < 0.1 AND p.rows = 1 AND m.utmos >= 3 AS strict
+FROM (SELECT DISTINCT cloned_audio AS wav FROM sim WHERE cloned_audio IS NOT NULL) c LEFT JOIN {_SIM} s USING (wav) LEFT JOIN {_CER} e USING (wav) LEFT JOIN {_MOS} m USING (wav)
+LEFT JOIN (SELECT cloned_audio AS wav, count(*) AS rows, min(ref_audio) AS ref_audio, min(speed) FILTER (speed > 0) AS speed FROM sim GROUP BY 1) p USING (wav) LEFT JOIN {_REF_SECS} r ON r.ref_audio = p.ref_audio)"""
+
+
+def _part(name: str, sql: str) -> str:
+    return f"LEFT JOIN (SELECT speaker_key, count(*) AS n, round(sum(x), 4) AS s FROM {sql} GROUP BY 1) {name} USING (speaker_key)"
+
+
+_FLAVOURS = ("original", "generated", "accepted", "strict")
+
+
+@query(f"""SELECT speaker_key, {', '.join(f'coalesce({k}.n, 0) AS {k}, coalesce({k}.s, 0) AS {k}_seconds' for k in _FLAVOURS)} FROM (SELECT DISTINCT speaker_key FROM {_REF})
+{_part('original', f"(SELECT speaker_key, coalesce({_SECS}, 0) AS x FROM {_REF})")} {_part('generated', _CLIP)} {_part('accepted', f'(SELECT * FROM {_CLIP} WHERE ok)')} {_part('strict', f'(SELECT * FROM {_CLIP} WHERE strict)')}""")
 def speaker_inventory(spark: SparkSession, d: str) -> DataFrame:
-    """Files per speaker in the original, generated and accepted inventories, zeros for absent ones."""
-    speaker = F.concat_ws("/", F.split("wav", "/")[3], F.split("wav", "/")[4]).alias("speaker_key")
-    n = lambda df, name: df.groupBy("speaker_key").agg(F.count("*").alias(name))
-    refs, s = _refs(spark, d), sim(spark, d)
-    ok = s.where("similarity > 0.8").join(cer(spark, d).where("cer < 0.1"), "wav")
-    out = n(refs, "original").join(n(s.select(speaker), "generated"), "speaker_key", "left").join(n(ok.select(speaker), "accepted"), "speaker_key", "left")
-    return out.fillna(0, ["generated", "accepted"])
+    """Files and seconds per speaker in four inventories (original, generated, accepted, strictly accepted: without repeated rows, of a good mean opinion), zeros for absent ones (A13). A clip's length isn't in the tables: its reference's over its speed."""
+    refs = _refs(spark, d)
+    x = F.when((F.col("frames") > 0) & (F.col("sample_rate") > 0), F.col("frames") / F.col("sample_rate"))
+    own = refs.groupBy("ref_audio").agg(F.max(x).alias("x"))
+    clips = table(spark, d, "sim", F.col("cloned_audio").alias("wav"), "ref_audio", "speed").where("wav is not null").groupBy("wav").agg(F.count("*").alias("rows"), F.min("ref_audio").alias("ref_audio"), F.min(F.when(F.col("speed") > 0, F.col("speed"))).alias("speed"))
+    j = clips.join(sim(spark, d), "wav", "left").join(cer(spark, d), "wav", "left").join(mos(spark, d), "wav", "left").join(own, "ref_audio", "left")
+    ok = F.coalesce((F.col("similarity") > 0.8) & (F.col("cer") < 0.1), F.lit(False))
+    j = j.select(F.concat_ws("/", F.split("wav", "/")[3], F.split("wav", "/")[4]).alias("speaker_key"), F.coalesce(F.col("x") / F.col("speed"), F.lit(0.0)).alias("x"), ok.alias("ok"), (ok & (F.col("rows") == 1) & F.coalesce(F.col("utmos") >= 3, F.lit(False))).alias("strict"))
+    return q.inventories(refs.select("speaker_key", F.coalesce(x, F.lit(0.0)).alias("x")), j, "speaker_key", "x", {"generated": F.lit(True), "accepted": F.col("ok"), "strict": F.col("strict")})
 
 
 _RANK = "ref_text IS NULL OR ref_text = '', coalesce(NOT (x BETWEEN 3 AND 15), true), coalesce(abs(x - 7), 1e9), sha256(speaker_key || chr(0) || utt_id || chr(0) || ref_audio)"

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from ..operators import joins as j
 from ..operators import ordering as o
+from ..functions import text as t
 from ..operators import stats as s
 from ..session import table
+from .quality import _DEDUP
 from .registry import query
 
 _DIST = """round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS std, min(x) AS min, max(x) AS max, """ + ", ".join(f"round(quantile_cont(x, {p}), 6) AS p{round(p * 100)}" for p in s.LEVELS)
@@ -95,7 +97,7 @@ def cer_by_dataset(spark: SparkSession, d: str) -> DataFrame:
     return s.distribution(df, "cer", ["dataset"]).where("n + failed >= 100")
 
 
-@query(f"""SELECT CASE WHEN language = 'en_mostly' THEN 'en' WHEN language IN ('cn_mostly', 'frequent_mix') THEN 'zh' ELSE coalesce(language, 'unknown') END AS language, count(x) AS n, count(*) - count(x) AS failed, {_DIST}
+@query(f"""SELECT CASE WHEN language = 'en_mostly' THEN 'en' WHEN language IN ('cn_mostly', 'frequent_mix') THEN 'zh' ELSE coalesce(nullif(language, ''), 'unknown') END AS language, count(x) AS n, count(*) - count(x) AS failed, {_DIST}
 FROM (SELECT *, {_FIN.format('similarity')} AS x FROM {_COSINES}) GROUP BY 1 HAVING count(*) >= 100""")
 def similarity_by_language(spark: SparkSession, d: str) -> DataFrame:
     """Similarity per folded language, version 1 scores on the cosine scale."""
@@ -186,6 +188,40 @@ def hot_values(spark: SparkSession, d: str) -> DataFrame:
     return s.hot(table(spark, d, "llm_children_100k_asr_complete", "seq", "scenario"), "scenario", "seq", 800, 0.0125, 8)
 
 
+# The tables of frequent patterns.
+FILLERS = ("嗯", "那个", "就是", "啊", "呃", "哎呀", "为什么", "wait", "okay", "no no", "very very")
+OBJECTS = (
+    "妈妈", "爸爸", "故事", "phone", "number", "玩具", "作业", "magic", "spell", "不公平", "回家", "睡觉", "小熊", "古诗", "唐诗", "诗人", "拼音", "生字", "造句", "作文", "单词", "English", "math", "加法", "乘法", "口诀", "恐龙",
+    "老师", "同桌", "黑板", "实验", "磁铁", "影子", "垃圾分类", "跳绳", "篮球", "唱歌", "画画", "键盘", "机器人", "值日", "小明", "小红", "小刚", "阅读材料", "庆历四年", "Read after me", "已知rt", "Tom has", "how many", "相向而行", "岳阳楼",
+    "我想", "我要", "我不", "能不能", "为什么", "然后就是", "i want", "i don't", "can we", "mom can",
+)
+PHRASES = (
+    "阅读材料", "read after me", "question:", "已知rt", "庆历四年", "床前明月光", "how many apples", "相向而行", "庆历四年春", "学而时习之", "repeat after me", "小明有", "妈妈你看", "我觉得", "嗯那个", "不对不对",
+    "我想", "我要", "我不", "能不能", "i want", "i don't", "因为所以", "但是如果", "先帝", "子曰",
+)
+_L = lambda words: "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
+
+
+@query(f"""WITH l AS (SELECT seq, text, lower(text) AS low, {_DEDUP} AS form FROM (SELECT seq, coalesce(text, '') AS text FROM llm_children_100k_asr_complete WHERE seq IS NOT NULL ORDER BY seq DESC LIMIT 800)),
+e AS (SELECT 'opening' AS family, left(form, 4) AS value, seq, 0 AS k FROM l WHERE length(form) >= 3 UNION ALL SELECT 'tag', unnest(t), seq, unnest(range(len(t))) FROM (SELECT seq, regexp_extract_all(text, '\\[([^\\]]+)\\]', 1) AS t FROM l)
+UNION ALL SELECT 'filler', w, seq, k FROM l, (SELECT unnest({_L(FILLERS)}) AS w, unnest(range({len(FILLERS)})) AS k) WHERE contains(low, lower(w)) UNION ALL SELECT 'object', w, seq, k FROM l, (SELECT unnest({_L(OBJECTS)}) AS w, unnest(range({len(OBJECTS)})) AS k) WHERE contains(low, lower(w))
+UNION ALL SELECT 'phrase', w, seq, k FROM l, (SELECT unnest({_L(PHRASES)}) AS w, unnest(range({len(PHRASES)})) AS k) WHERE contains(low, w)),
+c AS (SELECT family, value, count(*) AS n, row_number() OVER (PARTITION BY family ORDER BY count(*) DESC, min((seq, k))) AS r FROM e GROUP BY 1, 2),
+p AS (SELECT unnest(['opening', 'tag', 'filler', 'object', 'phrase']) AS family, unnest([0.0125, 0.04, 0.03, 0.025, 0.015]) AS share, unnest([8, 5, 8, 8, 6]) AS most)
+SELECT family, value, n FROM c JOIN p USING (family) WHERE r <= most AND n >= greatest(3, floor(share * (SELECT count(*) FROM l)))""")
+def hot_patterns(spark: SparkSession, d: str) -> DataFrame:
+    """Frequent openings, tags, fillers, objects and phrases among the last 800 rows."""
+    return s.hot_patterns(table(spark, d, "llm_children_100k_asr_complete", "seq", "text"), "text", "seq", {"filler": FILLERS, "object": OBJECTS, "phrase": PHRASES})
+
+
+@query(f"""WITH l AS (SELECT text FROM llm_children_100k_asr_complete WHERE seq IS NOT NULL ORDER BY seq DESC LIMIT 5000), n AS (SELECT count(*) FILTER (contains(text, '[')) AS tagged FROM l),
+c AS (SELECT unnest(regexp_extract_all(text, '\\[([^\\]]+)\\]', 1)) AS tag FROM l), a AS (SELECT unnest({_L(t.TAGS)}) AS tag)
+SELECT a.tag AS tag, count(c.tag) AS n FROM a LEFT JOIN c USING (tag), n WHERE tagged > 50 GROUP BY a.tag, tagged HAVING count(c.tag) < greatest(2, tagged // 50)""")
+def cold_tags(spark: SparkSession, d: str) -> DataFrame:
+    """Known tags that the last 5000 rows hardly use."""
+    return s.cold_tags(table(spark, d, "llm_children_100k_asr_complete", "seq", "text"), "text", "seq", t.TAGS)
+
+
 @query("SELECT ref_audio, count(*) AS items, count(*) FILTER (x > 0.8) AS passes, round(count(*) FILTER (x > 0.8) / count(*), 6) AS pass_rate, max(x) AS best, round(avg(x), 6) AS mean FROM (SELECT ref_audio, CASE WHEN isfinite(similarity) THEN similarity END AS x FROM (SELECT ref_audio, CASE WHEN score_version = 1 THEN 2 * similarity - 1 ELSE similarity END AS similarity FROM sim)) GROUP BY 1")
 def reference_passes(spark: SparkSession, d: str) -> DataFrame:
     """Pass statistics per reference; partial sums are combined before the shuffle, so a hot reference is no hot task."""
