@@ -30,7 +30,7 @@ def test_instructions_and_forms():
     assert voices.instruct("male，四川话") == ("男，四川话", None) and voices.instruct("男", False) == ("male", None) and voices.instruct("", True) == (None, None)
     assert voices.instruct("male, female")[1] == "more than one gender" and "female" in voices.instruct("femal")[1] and voices.instruct("四川话, indian accent")[1]
     assert voices.truncate("一二三四五六七八[sigh]", "ultra_short") == "一二三四五...[sigh]" and voices.truncate("one two three four five six", "ultra_short") == "one two three..." and voices.truncate(None, "x") is None
-    assert voices.rate_form("你好，世界 12", "zh") == "你 好 世 界" and voices.rate_form("It’s (no 5) OK!", "en") == "it's ok" and voices.rate_form(None, "en") is None
+    assert voices.by_language("你好，世界 12", "zh", "zho") == "你 好 世 界 1 2" and voices.by_language("It’s (no 5) OK!", "en", "eng") == "it's ok"
 
 
 def test_hook_falls_back_to_rows(spark):

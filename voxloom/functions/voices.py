@@ -96,28 +96,102 @@ def cjk_spaces(c: str | Column) -> Column:
     return strip(F.regexp_replace(t, r"\s+", " "))
 
 
-#: Languages whose rates count characters; the mark that ends sentences in some scripts is punctuation there.
-BY_CHARACTER = ("zh", "ja", "th", "yue", "ko", "my", "lo", "km")
-
-
-def rate_form(text: str | None, language: str | None, drop: str = "", keep: str = "'") -> str | None:
-    """Form of a text for error rates of any language: compatible width, lower case, bracketed parts and numbers alone dropped, punctuation (but `keep`) and invisible characters dropped, characters apart in languages that count them, | between their words elsewhere untouched."""
-    if text is None:
-        return None
-    t = ud.normalize("NFKC", text).lower().translate({0x2018: "'", 0x2019: "'"})
-    t = re.sub(r"\([^()]*\d[^()]*\)|\[[^\[\]]*\]", " ", t)
-    t = "".join(c for c in t if c not in drop and (c in keep or ud.category(c)[0] in "LMNZ" or c.isspace()) and ud.category(c) != "Cf")
-    words = [w for w in t.split() if not w.isdigit()] or t.split()
-    return " ".join("".join(words)) if language in BY_CHARACTER else " ".join(words)
-
-
-@F.pandas_udf(T.StringType())
-def _rate_form(t: pd.Series, k: pd.Series) -> pd.Series:
-    return pd.Series([rate_form(a, b) for a, b in zip(t, k)], dtype=object)
-
-
-def error_rate_form(text: str | Column, language: str | Column) -> Column:
-    return _rate_form(text, language)
+# Languages whose rates count characters, without blanks and with them as |; characters that are dropped; by language, further ones.
+WITHOUT_BLANKS = ("zh", "yue", "ja")
+WITH_BARS = ("ko", "th", "arb", "vi", "hi", "el")
+DROPPED = "\u200b\u200c\u200e\u200f\u202a\u202c\u0656\u0657" + "".join(map(chr, range(0x64B, 0x653)))
+DROPPED_IN = {"mon": "\u00ad", "khk": "\u00ad", "heb": "".join(map(chr, range(0x5B0, 0x5D0)))}
+BLANKS_IN = {"tha": "\u200d"}
+WITHOUT_MARKS = ("jav",)
+ENTITIES = ("&lt;", "&gt;", "&nbsp")
+APOSTROPHES = "‛’‘"
+
+
+def evaluated(text: str, iso: str, lower: bool = True, numbers: bool = True, brackets: bool = False) -> str:
+    """Form of a text for error rates in a language (X23): compatible width, lower case, brackets with a digit in them dropped (with `brackets` all), curly apostrophes inside words plain, punctuation and symbols (all but ' and -) blanks, invisible characters and the language's marks dropped, with `numbers` False also words of digits alone."""
+    t = ud.normalize("NFKC", text)
+    t = t.lower() if lower else t
+    t = re.sub(r"\([^)]*\)", lambda m: " " if brackets or any(c.isdigit() for c in m[0]) else m[0], t)
+    for e in ENTITIES:
+        t = t.replace(e, "")
+    t = t.replace("ٱ", "ا")
+    t = "".join("'" if c in APOSTROPHES and 0 < i < len(t) - 1 and not t[i - 1].isspace() and not t[i + 1].isspace() else c for i, c in enumerate(t))
+    gone, blank = DROPPED + DROPPED_IN.get(iso, ""), BLANKS_IN.get(iso, "")
+    t = "".join(" " if c in blank or c not in "'-" and c not in gone and ud.category(c)[0] in "PS" else c for c in t if c not in gone)
+    words = t.split()
+    if not numbers:
+        words = [w for w in words if not all(ud.category(c) == "Nd" for c in w)]
+    t = " ".join(words)
+    return "".join(c for c in ud.normalize("NFD", t) if not ud.combining(c)) if iso in WITHOUT_MARKS else t
+
+
+def apart(text: str, bars: bool) -> str:
+    """Characters apart; blanks dropped, or kept as |."""
+    return " ".join(text.replace(" ", "|" if bars else ""))
+
+
+def by_language(text: str, language: str, iso: str, simplify=None) -> str:
+    """The form by which a word or character error rate of many languages is counted (X20): Chinese and Japanese as characters, six languages as characters with | for blanks, others as words. simplify: traditional to simplified Chinese, where there is a converter."""
+    t = evaluated(text, iso) if language != "unknown" else text
+    t = simplify(t) if simplify and language in ("zh", "yue") else t
+    return (apart(t, language in WITH_BARS) if language in WITHOUT_BLANKS + WITH_BARS else t).lower().strip()
+
+
+def by_character(text: str, language: str) -> str:
+    """The form by which a character error rate of any language is counted (X21): no blanks beside Chinese and Japanese, | for the others, characters apart. language: an ISO 639-3 code with its script behind (eng_Latn)."""
+    t = evaluated(text, language[:3])
+    t = re.sub(rf"\s+(?=[{_WIDE}])|(?<=[{_WIDE}])\s+", "", t)
+    return apart(re.sub(r"\s+", " ", t).strip(), True)
+
+
+ZH_DIGITS = "零一二三四五六七八九"
+
+
+def zh_words(n: str) -> str:
+    """A whole number of up to sixteen digits in Chinese words, longer ones digit by digit."""
+    n = n.lstrip("0") or "0"
+    if len(n) > 16:
+        return "".join(ZH_DIGITS[int(c)] for c in n)
+    if n == "0":
+        return ZH_DIGITS[0]
+    out, gap = "", False
+    groups = [n[max(0, len(n) - 4 * (k + 1)) : len(n) - 4 * k].zfill(4) for k in range(-(-len(n) // 4))]
+    for k in range(len(groups) - 1, -1, -1):
+        said = ""
+        for digit, unit in zip(groups[k], ("千", "百", "十", "")):
+            if digit == "0":
+                gap = True
+            else:
+                said += (ZH_DIGITS[0] if gap and (out or said) else "") + ZH_DIGITS[int(digit)] + unit
+                gap = False
+        out += said + ("", "万", "亿", "万亿")[k] if said else ""
+    return out[1:] if out.startswith("一十") else out
+
+
+def cantonese(text: str, simplify=None) -> str:
+    """The Cantonese form (X22): as by_language, with numbers in words."""
+    t = evaluated(text, "yue")
+    t = simplify(t) if simplify else t
+    return apart(re.sub("[0-9]+", lambda m: zh_words(m[0]), t), False).lower().strip()
+
+
+_WIDE = "\u4e00-\u9fff\u3040-\u309f\u30a0-\u30ff\u3000-\u303f"
+# ISO 639-3 codes of the languages of the tables.
+ISO = {"zh": "zho", "en": "eng", "es": "spa", "fr": "fra", "de": "deu", "ja": "jpn", "ko": "kor", "yue": "yue", "th": "tha", "arb": "arb", "vi": "vie", "hi": "hin", "el": "ell"}
+
+
+@F.pandas_udf(T.StructType([T.StructField(c, T.StringType()) for c in ("by_language", "by_character", "cantonese")]))
+def _rate_forms(t: pd.Series, k: pd.Series) -> pd.DataFrame:
+    rows = []
+    for text, lang in zip(t, k):
+        lang = lang or "unknown"
+        rows.append((None,) * 3 if text is None else (by_language(text, lang, ISO.get(lang, lang)), by_character(text, ISO.get(lang, lang)), cantonese(text) if lang in ("zh", "yue") else None))
+    return pd.DataFrame(rows, columns=["by_language", "by_character", "cantonese"], dtype=object)
+
+
+def error_rate_forms(text: str | Column, language: str | Column) -> Column:
+    """struct(by_language, by_character, cantonese): the forms of a text in a language (a code of two letters, null is unknown; cantonese for Chinese only)."""
+    return _rate_forms(text, language)
 
 
 def resolved(df: DataFrame, column: str, dimension: DataFrame, key: str = "language_id", name: str = "language_name") -> DataFrame:

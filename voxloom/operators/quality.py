@@ -41,6 +41,20 @@ def min_tags(length_type: str, scenario: str, reading: Column) -> Column:
     return F.when(reading, relaxed).when(stress, F.greatest(base, F.lit(1))).otherwise(base)
 
 
+def no_text_tn(text: str) -> Column:
+    """Whether nothing of a text is left in its transcript: tags spoken or not, it holds no letter, mark or number and no sign that counts. Entities are left out of it, as most stand for punctuation."""
+    bare = F.regexp_replace(F.regexp_replace(text, t.VALID_TAG, "a"), "&[#A-Za-z0-9]+;", " ")
+    return ~bare.rlike(r"[\p{L}\p{M}\p{N}%¥$€£°]")
+
+
+def with_text_tn(df: DataFrame, text: str = "text", language: str = "language", lang_type: str = "lang_type") -> DataFrame:
+    """df with text_tn: the tags spoken in the row's language, then the safe form; null for an empty text, for one of which nothing is left, and for one that doesn't settle."""
+    from ..functions import normalize
+
+    tn = normalize.reference_form(text, t.tag_language(text, language, lang_type)[0])
+    return df.withColumn("text_tn", F.nullif(tn, F.lit("")))
+
+
 def rejected(df: DataFrame) -> DataFrame:
     """df with reason: the first rule that a row fails, or pass. Cheap rules stand first; null lengths count as medium."""
     d = df.withColumn("text", t.strip("text")).withColumn("length_type", F.coalesce("length_type", F.lit("medium"))).withColumn("_reading", is_reading("scenario", "subscene"))
@@ -66,6 +80,7 @@ def rejected(df: DataFrame) -> DataFrame:
         .when(severe_length("text", "length_type", reading), "severe_length")
         .when(F.size(t.tags("text")) < min_tags("length_type", "scenario", reading), "too_few_tags")
         .when((F.coalesce("age_tier", F.lit("")) == "preschool") & ~t.child_markers(t.autocorrected("text")), "preschool_markers")
+        .when(no_text_tn("text"), "no_text_tn")
         .when(t.start_issues("text") + t.conflict_issues("text") > F.when(reading, 6).otherwise(5), "validation_issues")
         .otherwise("pass")
     )

@@ -135,8 +135,8 @@ def speaker_of(ref: str | Column, cloned: str | Column, canonical: tuple[str, ..
     p, c = (F.col(x) if isinstance(x, str) else x for x in (ref, cloned))
     parts, low = F.split(p, "/"), F.lower(p)
     n = F.size(parts)
-    stem = F.regexp_replace(F.element_at(parts, -1), r"(?<=.)\.[^.]*$", "")
-    folder = F.element_at(parts, -2)
+    stem = F.regexp_replace(F.try_element_at(parts, F.lit(-1)), r"(?<=.)\.[^.]*$", "")
+    folder = F.try_element_at(parts, F.lit(-2))
 
     def made(dataset: str, speaker: str, part: Column, number: Column) -> Column:
         head, at, tail = speaker.partition("{0}") if "{0}" in speaker else speaker.partition("{1}")
@@ -144,7 +144,7 @@ def speaker_of(ref: str | Column, cloned: str | Column, canonical: tuple[str, ..
         return F.when(said.isNotNull(), F.struct(F.lit(dataset).alias("dataset"), said.alias("speaker"), stem.alias("stem")))
 
     def read(d: Dialect) -> Column:
-        own = folder if not d.segment or d.pad else F.element_at(F.filter(parts, lambda x: x.rlike(d.segment)), 1)
+        own = folder if not d.segment or d.pad else F.get(F.filter(parts, lambda x: x.rlike(d.segment)), 0)
         number = F.nullif(F.regexp_extract(own, d.segment or "^(.*)$", 1), F.lit(""))
         number = F.when(F.length(F.ltrim(number, F.lit("0"))) < d.pad, F.lpad(F.ltrim(number, F.lit("0")), d.pad, "0")).otherwise(F.ltrim(number, F.lit("0"))) if d.pad else number
         out = made(d.dataset, d.speaker, own, number)
@@ -152,7 +152,7 @@ def speaker_of(ref: str | Column, cloned: str | Column, canonical: tuple[str, ..
 
     # the first part audio that a canonical dataset and at least a speaker and a file follow
     at = F.filter(F.sequence(F.lit(1), F.greatest(n - 2, F.lit(1))), lambda i: (n > 2) & (F.get(parts, i - 1) == "audio") & F.get(parts, i).isin(*canonical))
-    i = F.element_at(at, 1)
+    i = F.get(at, 0)
     usual = F.struct(F.get(parts, i).alias("dataset"), F.get(parts, i + 1).alias("speaker"), stem.alias("stem"))
     out = F.when(F.size(at) > 0, usual)
     for d in dialects:
@@ -178,16 +178,17 @@ def fingerprint(rules: object) -> str:
 
 
 def eval_items(clips: DataFrame, key: str, text: str, hypothesis: str, language: str, kind: str) -> DataFrame:
-    """key, tag_language, ref_normalized, hypo_normalized, s, i, d, n, cer, input_fingerprint, hypo_fingerprint of clips with a hypothesis: what an evaluation record of the current rules holds (H9)."""
+    """key, tag_language, ref_normalized, hypo_normalized, substitutions, insertions, deletions, reference_chars, cer, input_fingerprint, hypo_fingerprint of clips with a hypothesis: what an evaluation record of the current rules holds (H9)."""
     from ..functions import edit, normalize
     from ..functions.text import tag_language
 
     lang = tag_language(text, language, kind)[0]
-    d = clips.where(F.col(hypothesis).isNotNull()).select(key, text, hypothesis, lang.alias("tag_language"))
-    d = d.withColumn("ref_normalized", normalize.reference_form(text, F.col("tag_language"))).withColumn("hypo_normalized", normalize.normalized_safe(hypothesis))
-    d = d.withColumn("x", edit.char_operations("ref_normalized", "hypo_normalized"))
-    rate = (F.col("x.s") + F.col("x.i") + F.col("x.d")) / F.nullif(F.col("x.n"), F.lit(0))
-    return d.select(key, "tag_language", "ref_normalized", "hypo_normalized", "x.s", "x.i", "x.d", "x.n", rate.alias("cer"), F.sha2(F.concat_ws("\0", text, "tag_language"), 256).alias("input_fingerprint"), F.sha2(hypothesis, 256).alias("hypo_fingerprint"))
+    d = clips.where(F.col(hypothesis).isNotNull()).select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.col(hypothesis).alias("_hypo"), lang.alias("tag_language"))
+    d = d.withColumn("ref_normalized", normalize.reference_form("_text", F.col("tag_language"))).withColumn("hypo_normalized", normalize.normalized_safe("_hypo"))
+    d = d.withColumn("_x", edit.char_operations("ref_normalized", "hypo_normalized"))
+    rate = (F.col("_x.s") + F.col("_x.i") + F.col("_x.d")) / F.nullif(F.col("_x.n"), F.lit(0))
+    ops = [F.col(f"_x.{a}").alias(b) for a, b in (("s", "substitutions"), ("i", "insertions"), ("d", "deletions"), ("n", "reference_chars"))]
+    return d.select(F.col("_key").alias(key), "tag_language", "ref_normalized", "hypo_normalized", *ops, rate.alias("cer"), F.sha2(F.concat_ws("\0", "_text", "tag_language"), 256).alias("input_fingerprint"), F.sha2("_hypo", 256).alias("hypo_fingerprint"))
 
 
 def eval_error(tolerance: float = 1e-12) -> Column:

@@ -99,6 +99,7 @@ WHEN NOT {_COMPLETE} THEN 'incomplete_asr' WHEN {_PHONETIC} THEN 'pinyin_phoneti
 WHEN coalesce(list_max(list_transform(list_distinct({_TAGS}), lambda x: len(list_filter({_TAGS}, lambda y: y = x)))), 0) > 2 THEN 'repeat_tag'
 WHEN {_SEVERE} THEN 'severe_length' WHEN len({_TAGS}) < {_MIN_TAGS} THEN 'too_few_tags'
 WHEN coalesce(age_tier, '') = 'preschool' AND NOT {_MARKED.replace('%s', _CORRECTED)} THEN 'preschool_markers'
+WHEN NOT regexp_matches(regexp_replace(regexp_replace(text, {_s(t.VALID_TAG)}, 'a', 'g'), '&[#A-Za-z0-9]+;', ' ', 'g'), '[\\p{{L}}\\p{{M}}\\p{{N}}%¥$€£°]') THEN 'no_text_tn'
 WHEN {_ISSUES} > CASE WHEN {_READING} THEN 6 ELSE 5 END THEN 'validation_issues' ELSE 'pass' END"""
 _TRIMMED = f"(SELECT * REPLACE ({_strip('text')} AS text, coalesce(length_type, 'medium') AS length_type) FROM {POOL})"
 
@@ -151,11 +152,12 @@ def language_mismatch(spark: SparkSession, d: str) -> DataFrame:
     return df.groupBy("lang_type").agg(F.count("*").alias("n"), F.count_if("off").alias("mismatched"))
 
 
-@query(f"""SELECT CASE WHEN grouping(age_tier) = 0 THEN 'age_tier' WHEN grouping(lang_type) = 0 THEN 'lang_type' ELSE 'length_type' END AS dimension,
-coalesce(age_tier, lang_type, length_type, '') AS value, count(*) AS n FROM {POOL} GROUP BY GROUPING SETS ((age_tier), (lang_type), (length_type))""")
+@query(f"""SELECT CASE WHEN grouping(age_tier) = 0 THEN 'age_tier' WHEN grouping(lang_type) = 0 THEN 'lang_type' WHEN grouping(length_type) = 0 THEN 'length_type' WHEN grouping(emotion) = 0 THEN 'emotion' ELSE 'scenario' END AS dimension,
+coalesce(age_tier, lang_type, length_type, emotion, scenario, '') AS value, count(*) AS n FROM {POOL} GROUP BY GROUPING SETS ((age_tier), (lang_type), (length_type), (emotion), (scenario))""")
 def qa_groups(spark: SparkSession, d: str) -> DataFrame:
     """Group counts of the QA report in one pass."""
-    return q.group_counts(table(spark, d, POOL, "age_tier", "lang_type", "length_type"), ["age_tier", "lang_type", "length_type"])
+    dims = ["age_tier", "lang_type", "length_type", "emotion", "scenario"]
+    return q.group_counts(table(spark, d, POOL, *dims), dims)
 
 
 _WARN = f"""WITH x AS (SELECT count(*) AS n, count(*) FILTER (NOT {_FITS}) / count(*) AS mismatch, count(*) FILTER (NOT ({_UNITS} BETWEEN {_LO} AND {_HI})) / count(*) AS lengths,

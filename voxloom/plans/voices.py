@@ -49,8 +49,22 @@ def cjk_spaces(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def error_rate_texts(spark: SparkSession, d: str) -> DataFrame:
-    """Forms for error rates by language."""
-    return spread(table(spark, d, POOL, "seq", "text", "language")).select("seq", vo.error_rate_form("text", "language").alias("form"))
+    """Forms for error rates by language, by character and in Cantonese."""
+    lang = F.regexp_extract(F.lower(F.trim("language")), "^[a-z]{2}", 0)
+    return spread(table(spark, d, POOL, "seq", "text", F.nullif(lang, F.lit("")).alias("language"))).select("seq", vo.error_rate_forms("text", "language").alias("f")).select("seq", "f.*")
+
+
+@query()
+def text_tn(spark: SparkSession, d: str) -> DataFrame:
+    """The normalized transcript of every text: its tags spoken, then the safe form; null where nothing is left."""
+    return spread(q.with_text_tn(table(spark, d, POOL, "seq", "text", "language", "lang_type"))).select("seq", "text_tn")
+
+
+@query()
+def filtered_texts(spark: SparkSession, d: str) -> DataFrame:
+    """The composite filter's rows as they are handed on, with their transcripts."""
+    df = table(spark, d, POOL, "seq", "text", "lang_type", "length_type", "scenario", "subscene", "age_tier", "language")
+    return q.with_text_tn(q.passed(df)).select("seq", "text", "text_tn", "n_tags", "issues", "length_mismatch")
 
 
 _U = f"(len(regexp_extract_all(regexp_replace(text, {_s(t.ANY_TAG)}, '', 'g'), {_s(t.HAN)})) + len(regexp_extract_all(regexp_replace(text, {_s(t.ANY_TAG)}, '', 'g'), '[A-Za-z]+')))"
