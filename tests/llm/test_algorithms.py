@@ -109,6 +109,20 @@ def test_summary_bound(n):
     assert n < 32 and s.error() == 0 or n > 32 and s.error() < 0.2 * n
 
 
+def test_size_keeps_an_asked_error():
+    rnd = np.random.default_rng(5)
+    for epsilon in (0.05, 0.01, 0.003):
+        n = 60_000
+        size = quantiles.size_for(epsilon, n)
+        s = quantiles.Summary(size)
+        for part in np.array_split(rnd.normal(size=n), 37):
+            one = quantiles.Summary(size)
+            one.add(part)
+            s.merge(*one.row())
+        assert s.error() <= epsilon * n and size < n
+    assert quantiles.size_for(0.01, 10) <= 64
+
+
 def test_daily_partials_join(spark):
     rows = [("a" if i % 3 else None, f"d{i % 5}", float(i)) for i in range(3000)] + [("a", "d0", None), ("a", "d0", float("nan")), ("b", "d0", float("inf"))]
     df = spark.createDataFrame(rows, "g string, d string, value double").repartition(6)

@@ -1,17 +1,18 @@
-"""What the operators of this subpackage share: text units, Arrow mapping, written intermediate tables."""
+"""What the operators of this subpackage share: text units, Arrow mapping, and the session's helpers."""
 
 from __future__ import annotations
 
-import os
 import re
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread, table, written
+
+__all__ = ["TAG", "UNIT", "folded", "letters", "map_rows", "spread", "table", "units", "written"]
+
 #: A bracket tag such as [sigh].
 TAG = re.compile(r"\[[^\[\]]*\]")
 _CJK = "ぁ-ゖゝ-ゟァ-ヺー-ヿㇰ-ㇿ㐀-䶿一-鿿가-힣豈-﫿ｦ-ﾟ\U00020000-\U0003ffff"
@@ -29,22 +30,11 @@ def units(text: str | None) -> int:
     return len(UNIT.findall(TAG.sub("", text))) if text else 0
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df.select(*cols) if cols else df
-
-
 def folded(name: str | Column) -> Column:
     """Trimmed, lower-cased, - read as _."""
     return F.regexp_replace(F.lower(F.trim(F.col(name) if isinstance(name, str) else name)), "-", "_")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spreads a scan of fewer partitions than there are cores: Python work then uses all of them. Larger inputs are left as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def map_rows(df: DataFrame, make: Callable[[], Callable[..., Iterator[tuple] | list[tuple]]], schema: str) -> DataFrame:
     """Arrow-batched row mapping. make() is called once per task and gives fn(*values of one row) -> rows of the result."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -61,26 +51,3 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[..., Iterator[tuple] | l
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
 
     return df.mapInArrow(run, out)
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; only where it is unset (local tests), one of our own."""
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or (sc._jsc.sc().getCheckpointDir().get() if sc._jsc.sc().getCheckpointDir().isDefined() else None)
-    if not named:
-        if not sc.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        named = "file://" + os.path.join(tempfile.gettempdir(), "voxloom-shared")
-        sc.setCheckpointDir(named)
-    return named
-
-
-def written(df: DataFrame) -> DataFrame:
-    """Cuts the lineage: writes df as a table into the shared folder, to be deleted as the session ends, and reads it again."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/voxloom/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
-    return spark.read.schema(df.schema).parquet(path)

@@ -44,26 +44,33 @@ def _rank(c: str) -> str:
     return f"CASE WHEN {c} IS NOT NULL THEN rank() OVER (ORDER BY {c} NULLS LAST) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 END AS r_{c}"
 
 
+# Looks, written down apart from the operator's tables: each character and, at the same place below it, what it looks like.
+_ALIKE = "АВЕЅІЈКМНОРСТУХҮԌԚԜѴӀабеѕіјоpрсухһԁԛԝѵҽүӏΑΒΕΖΗΙΚΜΝΟΡΤΥΧανοιρυσγϲϳβՕՍՏԼօսոհցզյգᎠᎡᎢᎥᎪᎫᎬᎳᎷᎻᏀᏃᏒᏔᏚᏙᏢᏞᏟᏦᏴɡɑ"
+_ALIKE_AS = "ABESIJKMHOPCTYXYGQWVlabesijoppcyxhdqwveylABEZHIKMNOPTYXavoipuoycjßOUSLounhgqjqDRTiAJEWMHGZRWSVPLCKBga"
+_SIGNS = "ロニハカタエトミチオセーノメヘベペ"
+_SIGNS_AS = "口二八力夕工卜彡千才七一丿〆へべぺ"
+_PARTS = "⺠⺟⻁⻄⻅⻆⻉⻋⻑⻓⻔⻘⻙⻚⻛⻜⻝⻢⻣⻤⻥⻦⻧⻨⻩⻬⻭⻮⻯⻰⺁⺇⺌⺎⺒⺓⺙⺝⺞⺪⺬⺮⺯⺰⺱⺲⺳⺶⺷⺸⺹⺺⺻⺼⻀⻂⻃⻇⻈⻊⻌⻍⻎⻏⻐⻒⻖⻗⻞⻟⻠⻡⻪⻫"
+_PARTS_AS = "民母虎西见角贝车镸长门青韦页风飞食马骨鬼鱼鸟卤麦黄齐歯齿竜龙厂几小兀巳幺攵月歺疋示竹糸纟罓罒罓羊羊羊耂肀聿月艹衤覀𧢲讠足辶辶辶阝钅镸阝雨飠飠饣𩠐黾斉"
+
+
 def _looks() -> tuple[str, str]:
-    """Characters and what they fold to, one to one, from the rules of lookalike."""
+    """Characters and what they look like, one to one: the tables above, width forms, styled letters and radicals by their decompositions, spaces, and letters with one accent."""
     import unicodedata as ud
 
-    from . import lookalike as k
-
-    pairs = {a: b for a, b in zip(k.KATAKANA + k.KATAKANA_2 + k.RADICALS, k.HAN + k.HIRAGANA_2 + k.RADICALS_AS)}
-    for o in (*range(0x2E80, 0x2FE0), *range(0xFF01, 0xFFE7), *range(0x1D400, 0x1D800), *range(0xFB00, 0xFB07), 0x3000):
-        c = chr(o)
-        f = k.folded(c)
-        if len(f) == 1 and f != c:
-            pairs[c] = pairs.get(f, f)
-    pairs |= {c: " " for c in k._SPACES if c != " "}
-    for c, b in k.LOOK.items():
+    pairs = dict(zip(_SIGNS + _PARTS, _SIGNS_AS + _PARTS_AS))
+    for o in (*range(0x2E80, 0x2FE0), *range(0xFF01, 0xFFE7), *range(0x1D400, 0x1D800), 0x3000):
+        kind, _, rest = ud.decomposition(chr(o)).partition(" ")
+        if kind in ("<wide>", "<narrow>", "<font>", "<compat>") and len(rest.split()) == 1:
+            one = chr(int(rest, 16))
+            pairs[chr(o)] = pairs.get(one, one)
+    pairs |= {chr(o): " " for o in range(0x21, 0x3001) if ud.category(chr(o)) == "Zs"}
+    for c, b in zip(_ALIKE, _ALIKE_AS):
         pairs[c] = b
         for m in range(0x300, 0x345):
             x, y = ud.normalize("NFC", c + chr(m)), ud.normalize("NFC", b + chr(m))
             if len(x) == len(y) == 1:
                 pairs[x] = y
-    pairs = {a: b for a, b in pairs.items() if a != b}
+    pairs = {a: pairs.get(b, b) for a, b in pairs.items() if a != b}
     return "".join(pairs).replace("'", "''"), "".join(pairs.values()).replace("'", "''")
 
 

@@ -4,7 +4,8 @@ A summary holds full buffers of SIZE sorted values, each with a weight, and a ta
 buffers of one weight exist, they collapse into one of FAN times the weight, by selecting evenly spaced positions of their merged
 order; so weights form a tree and the total rank error is bounded by (W - C - 1) / 2 + w, with W the sum of the weights of all
 collapse outputs, C the number of collapses and w the heaviest weight. W and C travel with the summary, so the bound holds for
-whatever was joined. Groups of fewer than SIZE values are exact.
+whatever was joined: its values depend on how the rows were split into tasks, its bound doesn't fail. Groups of fewer than SIZE values
+are exact. size_for() gives the size that an error of epsilon n needs (SIZE: 0.2 % of 10^5 values, 0.6 % of 10^10).
 
 Summaries are made per task, group and day while reading, then folded, sorted by group, one after the other in constant memory:
 first in SALTS parts per group and day, then per group and day, then per group. No random choice is made, and the bound holds whatever the order of joining.
@@ -30,6 +31,17 @@ LEVELS = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 _FIELDS = "n bigint, collapses bigint, outputs bigint, weights array<bigint>, buffers array<double>, tail array<double>"
 
 
+def size_for(epsilon: float, n: int, fan: int = FAN) -> int:
+    """Least buffer size (a multiple of 64) with which the rank error stays below epsilon n for a group of n values: every level of the tree of collapses weighs n / size in all, and the heaviest buffer n / size at most."""
+    size = 64
+    while size < n:
+        levels = max(0, math.ceil(math.log(n / size, fan)))
+        if (levels / 2 + 1) / size <= epsilon:
+            return size
+        size += 64
+    return size
+
+
 class Summary:
     """Buffers by weight, tail, and what bounds the error."""
 
