@@ -110,3 +110,46 @@ def rewritten(path: str, old: str, new: str) -> Column:
 def duplicated(df: DataFrame, *keys: str) -> DataFrame:
     """Keys that stand more than once."""
     return df.groupBy(*keys).agg(F.count("*").alias("rows")).where("rows > 1")
+
+
+def merged(parts: list[DataFrame], key: str, order: str) -> DataFrame:
+    """Outputs of several workers as one table, each key once: its first row (U5, K4, P7). Columns that a part lacks are null."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    cols = [c for c in out.columns if c != key]
+    return out.groupBy(key).agg(F.min_by(F.struct(*cols), order).alias("_m")).select(key, "_m.*")
+
+
+def split_by(df: DataFrame, condition: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows that meet a condition and all others (also those of which it isn't known)."""
+    ok = F.coalesce(condition, F.lit(False))
+    return df.where(ok), df.where(~ok)
+
+
+def attempted(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Task states after new results: a new status replaces the old one and counts one attempt more, tasks without a result stay (G7, H24). old: key, status, attempts; new: key, status."""
+    n = new.select(key, F.col("status").alias("_new"), F.lit(True).alias("_hit"))
+    return old.join(n, key, "full").select(key, F.when(F.col("_hit"), F.col("_new")).otherwise(F.col("status")).alias("status"), (F.coalesce("attempts", F.lit(0)) + F.when(F.col("_hit"), 1).otherwise(0)).cast("bigint").alias("attempts"))
+
+
+def counted_once(parts: dict[str, DataFrame], path: str) -> DataFrame:
+    """path, parts: the paths that more than one inventory counts (D7); an inventory may name a path more than once."""
+    out = None
+    for name, df in parts.items():
+        d = df.where(F.col(path).isNotNull()).select(path, F.lit(name).alias("_part")).distinct()
+        out = d if out is None else out.unionByName(d)
+    return out.groupBy(path).agg(F.array_sort(F.collect_list("_part")).alias("parts")).where(F.size("parts") > 1)
+
+
+def half_open(value: str, low: float, high: float) -> Column:
+    """low <= value < high; a missing value isn't."""
+    return F.coalesce((F.col(value) >= low) & (F.col(value) < high), F.lit(False))
+
+
+def inventory(audio: DataFrame, texts: DataFrame, speakers: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(audio with its speaker and text, where there is one; keys that only one of audio and speakers has, with the side that lacks them)."""
+    whole = audio.join(speakers, key).join(texts, key, "left")
+    a, s = audio.select(key).distinct(), speakers.select(key).distinct()
+    lacking = a.join(s, key, "left_anti").select(key, F.lit("speaker").alias("missing")).unionByName(s.join(a, key, "left_anti").select(key, F.lit("audio").alias("missing")))
+    return whole, lacking

@@ -2,36 +2,69 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import cosine
 
 
-def scored(df: DataFrame, key: str, inputs: list[str], load: Callable[[], Callable[[pd.DataFrame], list]], out: str, kind: str = "double", name: str = "model") -> DataFrame:
-    """key, out, error, model: the model is loaded once per task and called per batch. If a batch fails, its rows are tried one by one; a row that fails has a null and the error."""
+def scored(df: DataFrame, key: str, inputs: list[str], load: Callable[[], Callable[[pd.DataFrame], list]], out: str, kind: str = "double", name: str = "model", retries: int = 0, wait: float = 0.5) -> DataFrame:
+    """key, out, error, model, seconds: the model is loaded once per task and called per batch.
+
+    A failed batch is called again up to `retries` times, after wait, 2 wait, 4 wait ... seconds (G6); then its rows are tried one by one,
+    and a row that fails has a null and the error. A model whose package is missing is skipped: all its rows have a null and the
+    reason (H3). seconds is a row's even share of its batch's time (H14).
+    """
     cols = [key, *inputs]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = load()
+        try:
+            model, gone = load(), None
+        except ImportError as e:
+            model, gone = None, f"skipped: {e}"
+
+        def called(pdf: pd.DataFrame) -> list:
+            for k in range(retries + 1):
+                try:
+                    return list(model(pdf))
+                except Exception:  # noqa: BLE001 - any failure of a plug-in
+                    if k == retries:
+                        raise
+                    time.sleep(wait * 2**k)
+            return []
+
         for pdf in frames:
-            try:
-                got, errors = list(model(pdf)), [None] * len(pdf)
-            except Exception:  # noqa: BLE001 - any failure of a plug-in is a row's error
-                got, errors = [], []
-                for k in range(len(pdf)):
-                    try:
-                        got.append(list(model(pdf.iloc[k : k + 1]))[0])
-                        errors.append(None)
-                    except Exception as e:  # noqa: BLE001
-                        got.append(None)
-                        errors.append(f"{type(e).__name__}: {e}")
-            yield pd.DataFrame({key: pdf[key], out: pd.Series(got, index=pdf.index, dtype=object), "error": errors, "model": name})
-
-    return df.select(*cols).mapInPandas(run, f"`{key}` {df.schema[key].dataType.simpleString()}, `{out}` {kind}, error string, model string")
+            began = time.perf_counter()
+            if gone:
+                got, errors = [None] * len(pdf), [gone] * len(pdf)
+            else:
+                try:
+                    got, errors = called(pdf), [None] * len(pdf)
+                except Exception:  # noqa: BLE001 - the rows tell which
+                    got, errors = [], []
+                    for k in range(len(pdf)):
+                        try:
+                            got.append(list(model(pdf.iloc[k : k + 1]))[0])
+                            errors.append(None)
+                        except Exception as e:  # noqa: BLE001
+                            got.append(None)
+                            errors.append(f"{type(e).__name__}: {e}")
+            each = (time.perf_counter() - began) / max(1, len(pdf))
+            yield pd.DataFrame({key: pdf[key], out: pd.Series(got, index=pdf.index, dtype=object), "error": errors, "model": name, "seconds": each})
+
+    return df.select(*cols).mapInPandas(run, f"`{key}` {df.schema[key].dataType.simpleString()}, `{out}` {kind}, error string, model string, seconds double")
+
+
+def routed(df: DataFrame, column: str, routes: dict[str, Callable[[DataFrame], DataFrame]], other: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Rows scored by the route of their value (a language, say), those without one by `other` (H11). Routes return equal columns."""
+    out = other(df.where(F.col(column).isNull() | ~F.col(column).isin(*routes)))
+    for value, route in routes.items():
+        out = out.unionByName(route(df.where(F.col(column) == value)))
+    return out
 
 
 def missing_only(df: DataFrame, cache: DataFrame, keys: list[str]) -> DataFrame:
@@ -39,10 +72,26 @@ def missing_only(df: DataFrame, cache: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(cache.select(*keys).distinct(), keys, "left_anti")
 
 
-def similarities(pairs: DataFrame, audio: DataFrame, one: str, two: str, key: str = "path", vec: str = "embedding") -> DataFrame:
-    """pairs with similarity: every distinct audio is embedded once (audio: key, vec) and joined twice."""
+def reusable(cache: DataFrame, same: dict[str, object]) -> DataFrame:
+    """Cached rows that another model, signature or version didn't make (H2, H5); a null fits nothing but a null."""
+    ok = F.lit(True)
+    for c, v in same.items():
+        ok = ok & F.col(c).eqNullSafe(F.lit(v))
+    return cache.where(ok)
+
+
+def complete(df: DataFrame, hit: Column, require_all: bool = False) -> DataFrame:
+    """df, failing as it is read where no row is a hit, or, with require_all, where one isn't (H6). hit: a condition. Counts are one row, that is broadcast."""
+    n = df.agg(F.count_if(F.coalesce(hit, F.lit(False))).alias("_hits"), F.count("*").alias("_all"))
+    bad = (F.col("_all") > 0) & ((F.col("_hits") == 0) | (F.lit(require_all) & (F.col("_hits") < F.col("_all"))))
+    said = F.concat(F.lit("incomplete: "), F.col("_hits").cast("string"), F.lit(" of "), F.col("_all").cast("string"))
+    return df.crossJoin(F.broadcast(n)).where(F.when(bad, F.raise_error(said).cast("boolean")).otherwise(True)).drop("_hits", "_all")
+
+
+def similarities(pairs: DataFrame, audio: DataFrame, one: str, two: str, key: str = "path", vec: str = "embedding", provenance: dict[str, object] | None = None) -> DataFrame:
+    """pairs with similarity and provenance columns (metric, version, model): every distinct audio is embedded once (audio: key, vec) and joined twice (H1)."""
     a, b = audio.select(F.col(key).alias(one), F.col(vec).alias("_a")), audio.select(F.col(key).alias(two), F.col(vec).alias("_b"))
-    return pairs.join(a, one, "left").join(b, two, "left").withColumn("similarity", cosine(F.col("_a"), F.col("_b"))).drop("_a", "_b")
+    return pairs.join(a, one, "left").join(b, two, "left").withColumn("similarity", cosine(F.col("_a"), F.col("_b"))).drop("_a", "_b").withColumns({k: F.lit(v) for k, v in (provenance or {}).items()})
 
 
 def multiplexed(parts: list[tuple[DataFrame, float]], key: str) -> DataFrame:

@@ -22,7 +22,7 @@ def exact_durations(df: DataFrame, key: str, target_seconds: int, scale: int = S
     return out.select(key, "numerator", F.lit(scale).alias("denominator"), (F.col("numerator").cast("double") / scale).alias("seconds"), "files", F.greatest(F.lit(0).cast("decimal(38,0)"), goal - F.col("numerator")).alias("deficit"), (F.col("numerator") >= goal).alias("meets"))
 
 
-def inventories(original: DataFrame, clips: DataFrame, key: str, seconds: str, flavours: dict[str, Column], digits: int = 4) -> DataFrame:
+def inventories(original: DataFrame, clips: DataFrame, key: str, seconds: str, flavours: dict[str, Column], digits: int = 9) -> DataFrame:
     """Files and seconds per speaker of the original inventory and of each flavour of the clips (a condition each), all flavours in one pass; zeros where a speaker has none, clips of unknown speakers are left out."""
     own = original.groupBy(key).agg(F.count("*").alias("original"), F.round(F.sum(seconds), digits).alias("original_seconds"))
     aggs = [x for k, c in flavours.items() for x in (F.count_if(c).alias(k), F.round(F.sum(F.when(c, F.col(seconds)).otherwise(F.lit(0.0))), digits).alias(f"{k}_seconds"))]
@@ -101,9 +101,12 @@ def walk(tasks: DataFrame, key: str, refs: str, ordinal: str, texts: int) -> Dat
     return d.withColumn("text_index", (F.col("_o") + F.col("ref_index") + F.pmod(F.col("_cycle"), F.lit(texts)) * F.col("_s")) % texts).drop("_cycle", "_o", "_s")
 
 
-def tasks_for(deficit: Column, multiplier: float, seconds_each: float, reserve: int) -> Column:
-    """Planned tasks of a deficit in seconds; none if there is none."""
-    return F.when(deficit <= 0, 0).otherwise(F.ceil(F.round(deficit * multiplier / seconds_each, 9)) + reserve).cast("bigint")
+def tasks_for(deficit: Column, multiplier: float, seconds_each: float, reserve: int, capacity: Column | None = None) -> Column:
+    """Planned tasks of a deficit in seconds; none if there is none. Where they exceed the capacity (pairs of references and texts that are left) the result fails as it is read."""
+    n = F.when(deficit <= 0, 0).otherwise(F.ceil(F.round(deficit * multiplier / seconds_each, 9)) + reserve).cast("bigint")
+    if capacity is None:
+        return n
+    return F.when(n > capacity, F.raise_error(F.concat(F.lit("tasks beyond the capacity: "), n.cast("string"), F.lit(" of "), capacity.cast("string"))).cast("bigint")).otherwise(n)
 
 
 def weighted_choice(df: DataFrame, key: str, weight: str, n: int, seed: int = 0) -> DataFrame:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions import normalize
+from .ordering import numbered
 
 
 def uniform(seed: int, *parts: str | Column) -> Column:
@@ -28,12 +30,35 @@ def drawn(u: Column, weights: dict[str, float]) -> Column:
 
 
 def task_list(spark: SparkSession, n: int, dims: dict[str, dict[str, float]], stress: dict[str, float] | None = None, stress_ratio: float = 0.15, first: str = "scenario", seed: int = 0) -> DataFrame:
-    """n tasks: task_id and a weighted draw of every dimension; the share stress_ratio of tasks takes its first dimension from the stress scenarios. Tasks are numbered in hash order."""
-    base = spark.range(n).select(F.col("id").alias("task_id"))
-    cols = {k: drawn(uniform(seed, "task_id", F.lit(k)), w) for k, w in dims.items()}
+    """n tasks: task_id and a weighted draw of every dimension. The stress scenarios get their quota first: exactly floor(n x stress_ratio) tasks take their first dimension from them; then tasks are numbered in the order of a hash, so that they stand anywhere."""
+    base = spark.range(n).select(F.col("id").alias("_i"))
+    cols = {k: drawn(uniform(seed, "_i", F.lit(k)), w) for k, w in dims.items()}
     if stress:
-        cols[first] = F.when(uniform(seed, "task_id", F.lit("stress")) < stress_ratio, drawn(uniform(seed, "task_id", F.lit("which")), stress)).otherwise(cols[first])
-    return base.select("task_id", *[c.alias(k) for k, c in cols.items()])
+        cols[first] = F.when(F.col("_i") < int(n * stress_ratio), drawn(uniform(seed, "_i", F.lit("which")), stress)).otherwise(cols[first])
+    rows = base.select("_i", uniform(seed, "_i", F.lit("place")).alias("_u"), *[c.alias(k) for k, c in cols.items()])
+    return numbered(rows, "_u", "_n", tie="_i").select((F.col("_n") - 1).alias("task_id"), *cols)
+
+
+def avoiding(tasks: DataFrame, name: str, values: list[str], last: int, seed: int = 0, per: int = 100_000) -> DataFrame:
+    """tasks with name: one of the values for each task in turn, none of those that the `last` tasks before have (W15). Runs of `per` tasks are drawn side by side, each starting afresh, as generating workers do; with no more than `last` values the oldest may come again."""
+    order = sorted(values)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tasks.schema)
+    rows = tasks.withColumn("_run", F.floor(F.col("task_id") / per)).withColumn("_u", uniform(seed, "task_id", F.lit(name)))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, recent = None, []
+        for pdf in batches:
+            got = []
+            for r, u in zip(pdf["_run"], pdf["_u"]):
+                if r != now:
+                    now, recent = r, []
+                free = [v for v in order if v not in recent] or [recent[0]]
+                pick = free[int(u * len(free))]
+                recent = [*recent, pick][-last:] if last else []
+                got.append(pick)
+            yield pdf.drop(columns=["_run", "_u"]).assign(**{name: got})
+
+    return rows.repartition("_run").sortWithinPartitions("_run", "task_id").mapInPandas(run, f"{kinds}, `{name}` string")
 
 
 def rotated(tasks: DataFrame, by: str, pool: dict[str, list[str]], name: str = "subscene") -> DataFrame:

@@ -36,7 +36,7 @@ LEFT JOIN (SELECT cloned_audio AS wav, count(*) AS rows, min(ref_audio) AS ref_a
 
 
 def _part(name: str, sql: str) -> str:
-    return f"LEFT JOIN (SELECT speaker_key, count(*) AS n, round(sum(x), 4) AS s FROM {sql} GROUP BY 1) {name} USING (speaker_key)"
+    return f"LEFT JOIN (SELECT speaker_key, count(*) AS n, round(sum(x), 9) AS s FROM {sql} GROUP BY 1) {name} USING (speaker_key)"
 
 
 _FLAVOURS = ("original", "generated", "accepted", "strict")
@@ -189,14 +189,6 @@ def planned_tasks(spark: SparkSession, d: str) -> DataFrame:
     return r.select("speaker_key", q.tasks_for(60 - F.col("s"), 1.5, 4.0, 2).alias("tasks"))
 
 
-@query("SELECT * FROM (SELECT o_orderstatus AS status, CASE WHEN o_orderstatus = 'F' AND o_totalprice >= 8 AND floor(o_totalprice / 100) >= 500 THEN 'complete' WHEN o_orderstatus = 'F' THEN 'partial' WHEN o_orderstatus = 'O' THEN 'missing' ELSE 'failed' END AS slot, count(*) AS n FROM orders GROUP BY ALL)")
-def slot_states(spark: SparkSession, d: str) -> DataFrame:
-    """State of an output slot by ordered conditions."""
-    p = F.col("o_totalprice")
-    slot = F.when((F.col("o_orderstatus") == "F") & (p >= 8) & (F.floor(p / 100) >= 500), "complete").when(F.col("o_orderstatus") == "F", "partial").when(F.col("o_orderstatus") == "O", "missing").otherwise("failed")
-    return table(spark, d, "orders", "o_orderstatus", "o_totalprice").groupBy(F.col("o_orderstatus").alias("status"), slot.alias("slot")).agg(F.count("*").alias("n"))
-
-
 @query()
 def diverse_sample(spark: SparkSession, d: str) -> DataFrame:
     """Per speaker clips picked to show unseen values of their dimensions."""

@@ -10,8 +10,10 @@ from ..functions import text as t
 from ..functions import vectors as v
 from ..operators import batching as b
 from ..operators import dedup as dd
+from ..operators import joins as jn
 from ..operators import ordering as o
-from ..session import spread, table
+from ..session import shared_folder, spread, table
+from ..sources import readers
 from .quality import _DEDUP, _s
 from .registry import query
 
@@ -155,11 +157,20 @@ def duration_clusters(spark: SparkSession, d: str) -> DataFrame:
     return b.clustered(table(spark, d, "documents", "doc_id", F.col("n_chars").cast("double").alias("length")), "doc_id", "length", 20000)
 
 
-@query("SELECT source, doc_id FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT source, doc_id FROM documents WHERE doc_id % 2 = 1")
+@query("SELECT CASE WHEN ref_audio IS NOT NULL AND coalesce(ref_text, '') <> '' THEN 'clone' ELSE 'other' END AS mode, count(*) AS n, count(frames) AS timed FROM reference_audio GROUP BY 1")
 def mode_split(spark: SparkSession, d: str) -> DataFrame:
-    """Complementary subsets, joined again."""
-    df = table(spark, d, "documents", "source", "doc_id")
-    return df.where("doc_id % 2 = 0").unionByName(df.where("doc_id % 2 = 1"))
+    """References with a text, from which voices are cloned, and the others."""
+    df = table(spark, d, "reference_audio", "ref_audio", "ref_text", "frames")
+    parts = jn.split_by(df, F.col("ref_audio").isNotNull() & (F.col("ref_text") != ""))
+    n = [p.agg(F.count("*").alias("n"), F.count("frames").alias("timed")).select(F.lit(m).alias("mode"), "n", "timed") for m, p in zip(("clone", "other"), parts)]
+    return n[0].unionByName(n[1]).where("n > 0")
+
+
+@query(f"SELECT id, min(seq) AS seq, arg_min(text, seq) AS text FROM {POOL} WHERE id IS NOT NULL GROUP BY 1")
+def worker_union(spark: SparkSession, d: str) -> DataFrame:
+    """Overlapping outputs of three workers as one table, each id once."""
+    df = table(spark, d, POOL, "id", "seq", "text").where("id is not null")
+    return jn.merged([df.where(F.pmod("seq", F.lit(3)) == k) for k in range(3)] + [df.where("seq % 10 = 0")], "id", "seq").select("id", "seq", "text")
 
 
 @query("SELECT doc_id, pos, CASE WHEN pos <= len(c) THEN c[pos] ELSE -1 END AS id, CASE WHEN pos <= len(c) THEN c[pos] ELSE -100 END AS label FROM (SELECT doc_id, c, unnest(range(1, m + 1)) AS pos FROM (SELECT doc_id, c, max(len(c)) OVER (PARTITION BY doc_id // 8) AS m FROM (SELECT doc_id, list_transform(string_split(source, '_'), lambda x: length(x)) AS c FROM documents WHERE source IS NOT NULL)))")
@@ -212,10 +223,16 @@ def json_columns(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events", "event_id", "event_type", "props").select("event_id", k.alias("k"), F.to_json(F.struct(F.col("event_type").alias("event"), k.alias("k"))).alias("record"))
 
 
-@query("SELECT o_orderpriority AS task, max_by(o_orderstatus, o_orderkey) AS status, count(*) AS attempts FROM orders GROUP BY 1")
+@query("""WITH m AS (SELECT min(ts) + (max(ts) - min(ts)) / 2 AS half FROM events), o AS (SELECT user_id, max_by(event_type, (ts, event_id)) AS status, count(*) AS attempts FROM events, m WHERE ts < half GROUP BY 1),
+n AS (SELECT user_id, max_by(event_type, (ts, event_id)) AS status FROM events, m WHERE ts >= half GROUP BY 1)
+SELECT user_id, coalesce(n.status, o.status) AS status, coalesce(o.attempts, 0) + (n.user_id IS NOT NULL)::INT AS attempts FROM o FULL JOIN n USING (user_id)""")
 def task_upsert(spark: SparkSession, d: str) -> DataFrame:
-    """Latest status and number of attempts per task."""
-    return table(spark, d, "orders", "o_orderpriority", "o_orderstatus", "o_orderkey").groupBy(F.col("o_orderpriority").alias("task")).agg(F.max_by("o_orderstatus", "o_orderkey").alias("status"), F.count("*").alias("attempts"))
+    """States of the first half of the events, merged with the results of the second: statuses replaced, attempts counted."""
+    ev = table(spark, d, "events", "user_id", "event_id", "event_type", "ts")
+    half = ev.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).select((F.col("lo") + (F.col("hi") - F.col("lo")) / 2).alias("half"))
+    rows = ev.crossJoin(F.broadcast(half))
+    last = F.max_by("event_type", F.struct("ts", "event_id")).alias("status")
+    return jn.attempted(rows.where("ts < half").groupBy("user_id").agg(last, F.count("*").alias("attempts")), rows.where("ts >= half").groupBy("user_id").agg(last), "user_id")
 
 
 @query()
@@ -256,7 +273,34 @@ def loaded_texts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, POOL, "id", "seq", "scenario", "subscene", "language").select(F.coalesce("id", F.concat(F.lit("text_"), F.lpad(F.col("seq").cast("string"), 6, "0"))).alias("id"), F.coalesce("scenario", "subscene", F.lit("")).alias("scenario"), F.coalesce("language", F.lit("zh")).alias("language"))
 
 
-@query("SELECT n_name, max(n_nationkey) AS last_key, count(*) AS lines FROM nation GROUP BY 1")
+@query("SELECT speaker_key AS key, max_by(ref_audio, (ref_audio)) AS value FROM reference_audio WHERE speaker_key IS NOT NULL AND ref_audio IS NOT NULL AND NOT regexp_matches(ref_audio, '[ \\t]$') GROUP BY 1")
 def last_wins(spark: SparkSession, d: str) -> DataFrame:
-    """Map whose last line wins."""
-    return table(spark, d, "nation", "n_name", "n_nationkey").groupBy("n_name").agg(F.max("n_nationkey").alias("last_key"), F.count("*").alias("lines"))
+    """Lines of speakers and references, written in order and read as a map whose last line wins."""
+    lines = table(spark, d, "reference_audio", "speaker_key", "ref_audio").dropna().orderBy("ref_audio").select(F.concat_ws(" ", "speaker_key", "ref_audio").alias("value"))
+    path = shared_folder(spark, "lines")
+    lines.write.text(path)
+    return readers.key_map(spark, path, "lenient")
+
+
+@query("""WITH a AS (SELECT DISTINCT utt_id, ref_audio FROM reference_audio WHERE utt_id IS NOT NULL AND ref_audio IS NOT NULL), t AS (SELECT utt_id, min(ref_text) AS ref_text FROM reference_audio WHERE ref_text IS NOT NULL GROUP BY 1), s AS (SELECT utt_id, min(speaker_key) AS speaker_key FROM reference_audio WHERE speaker_key IS NOT NULL AND utt_id NOT LIKE '%7' GROUP BY 1)
+SELECT a.utt_id AS utt_id, ref_audio, speaker_key, ref_text, '' AS missing FROM a JOIN s USING (utt_id) LEFT JOIN t USING (utt_id) UNION ALL SELECT utt_id, NULL, NULL, NULL, 'speaker' FROM (SELECT utt_id FROM a EXCEPT SELECT utt_id FROM s) UNION ALL SELECT utt_id, NULL, NULL, NULL, 'audio' FROM (SELECT utt_id FROM s EXCEPT SELECT utt_id FROM a)""")
+def inventory_join(spark: SparkSession, d: str) -> DataFrame:
+    """Audio, texts and speakers of an inventory joined, and what is incomplete (J7); some speakers are left out on purpose."""
+    df = table(spark, d, "reference_audio", "utt_id", "ref_audio", "ref_text", "speaker_key").where("utt_id is not null")
+    audio, texts = df.where("ref_audio is not null").select("utt_id", "ref_audio").distinct(), df.where("ref_text is not null").groupBy("utt_id").agg(F.min("ref_text").alias("ref_text"))
+    whole, lacking = jn.inventory(audio, texts, df.where("speaker_key is not null and utt_id not like '%7'").groupBy("utt_id").agg(F.min("speaker_key").alias("speaker_key")), "utt_id")
+    return whole.withColumn("missing", F.lit("")).unionByName(lacking, allowMissingColumns=True).select("utt_id", "ref_audio", "speaker_key", "ref_text", "missing")
+
+
+@query("SELECT path, list_sort(list(DISTINCT p)) AS parts FROM (SELECT wav AS path, 'eval' AS p FROM eval WHERE stage = 'complete' UNION ALL SELECT cloned_audio, 'sim' FROM sim WHERE similarity > 0.8 AND NOT isnan(similarity) UNION ALL SELECT cloned_audio, 'mos' FROM mos WHERE utmos > 4 AND NOT isnan(utmos)) WHERE path IS NOT NULL GROUP BY 1 HAVING count(DISTINCT p) > 1")
+def counted_twice(spark: SparkSession, d: str) -> DataFrame:
+    """Clips that more than one inventory counts."""
+    parts = {"eval": table(spark, d, "eval", F.col("wav").alias("path"), "stage").where("stage = 'complete'"), "sim": table(spark, d, "sim", F.col("cloned_audio").alias("path"), "similarity").where("similarity > 0.8 and not isnan(similarity)"), "mos": table(spark, d, "mos", F.col("cloned_audio").alias("path"), "utmos").where("utmos > 4 and not isnan(utmos)")}
+    return jn.counted_once(parts, "path")
+
+
+@query("SELECT count(*) FILTER (n_chars >= 50 AND n_chars < 400) AS half_open, count(*) FILTER (n_chars >= 50 AND n_chars <= 400) AS closed, count(*) AS rows FROM documents")
+def length_filters(spark: SparkSession, d: str) -> DataFrame:
+    """Half-open and closed length filters."""
+    df = table(spark, d, "documents", "n_chars")
+    return df.agg(F.count_if(jn.half_open("n_chars", 50, 400)).alias("half_open"), F.count_if(F.col("n_chars").between(50, 400)).alias("closed"), F.count("*").alias("rows"))

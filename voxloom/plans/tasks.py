@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..operators import tasks as tk
 from ..session import spread, table
@@ -22,6 +23,16 @@ def task_list(spark: SparkSession, d: str) -> DataFrame:
     return tk.rotated(t, "scenario", {"school": ["morning", "lunch", "home"], "play": ["yard", "room"], "learning": ["words", "sums"]})
 
 
+@query("SELECT (SELECT count(*) // 10 FROM llm_children_100k_asr_complete) AS tasks, floor((SELECT count(*) // 10 FROM llm_children_100k_asr_complete) * 0.15)::BIGINT AS stress, 0::BIGINT AS repeated")
+def task_quota(spark: SparkSession, d: str) -> DataFrame:
+    """Tasks, those of the stress scenarios (their quota is allotted first), and tasks whose emotion one of the two before has."""
+    n = table(spark, d, "llm_children_100k_asr_complete", "seq").count() // 10
+    t = tk.avoiding(tk.task_list(spark, n, {"scenario": {"school": 1.0, "play": 0.6}}, {"stress_numbers": 1.0, "stress_whisper_shout": 1.0}), "emotion", ["calm", "excited", "happy", "sad", "shy"], 2)
+    w = W.partitionBy(F.floor(F.col("task_id") / 100_000)).orderBy("task_id")
+    again = F.coalesce((F.col("emotion") == F.lag("emotion", 1).over(w)) | (F.col("emotion") == F.lag("emotion", 2).over(w)), F.lit(False))
+    return t.select("scenario", again.alias("again")).agg(F.count("*").alias("tasks"), F.count_if(F.col("scenario").startswith("stress")).alias("stress"), F.count_if("again").alias("repeated"))
+
+
 @query()
 def normalization_audit(spark: SparkSession, d: str) -> DataFrame:
     """Counters of the safe normal form over all documents."""

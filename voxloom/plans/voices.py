@@ -16,12 +16,17 @@ from .registry import query
 POOL = "llm_children_100k_asr_complete"
 
 
-@query("SELECT DISTINCT n_name AS value, CASE WHEN n_name IN (SELECT r_name FROM region) THEN n_name ELSE (SELECT min(r_name) FROM region WHERE lower(r_name) = lower(n_name)) END AS resolved FROM (SELECT n_name FROM nation UNION ALL SELECT lower(r_name) FROM region UNION ALL SELECT r_name FROM region)")
+# Codes and names of the languages of the tables.
+LANGUAGES = (("zh", "Chinese"), ("en", "English"), ("es", "Spanish"), ("fr", "French"), ("de", "German"), ("ja", "Japanese"), ("ko", "Korean"))
+
+
+@query(f"""WITH l(id, name) AS (VALUES {', '.join(f"('{a}', '{b}')" for a, b in LANGUAGES)})
+SELECT value, coalesce((SELECT id FROM l WHERE id = value), (SELECT min(id) FROM l WHERE lower(name) = lower(value))) AS resolved, n FROM (SELECT language AS value, count(*) AS n FROM {POOL} GROUP BY 1)""")
 def resolve_names(spark: SparkSession, d: str) -> DataFrame:
-    """Id, else name lookup without case, else null."""
-    dim = table(spark, d, "region", F.col("r_name").alias("language_id"), F.col("r_name").alias("language_name"))
-    vals = table(spark, d, "nation", F.col("n_name").alias("value")).unionByName(dim.select(F.lower("language_id").alias("value"))).unionByName(dim.select(F.col("language_id").alias("value"))).distinct()
-    return vo.resolved(vals, "value", dim).select("value", "resolved")
+    """Labels of the pool by code, else by name without case, else null."""
+    dim = spark.createDataFrame(LANGUAGES, "language_id string, language_name string")
+    vals = table(spark, d, POOL, "language").groupBy(F.col("language").alias("value")).agg(F.count("*").alias("n"))
+    return vo.resolved(vals, "value", dim).select("value", "resolved", "n")
 
 
 @query()
@@ -70,14 +75,24 @@ def filtered_texts(spark: SparkSession, d: str) -> DataFrame:
 _U = f"(len(regexp_extract_all(regexp_replace(text, {_s(t.ANY_TAG)}, '', 'g'), {_s(t.HAN)})) + len(regexp_extract_all(regexp_replace(text, {_s(t.ANY_TAG)}, '', 'g'), '[A-Za-z]+')))"
 
 
-@query(f"""SELECT seq, len({_TAGS}) AS n_tags FROM (SELECT * REPLACE ({_strip('text')} AS text, coalesce(length_type, 'medium') AS length_type) FROM {POOL}) WHERE text <> '' AND NOT ({' OR '.join(f'contains(lower(text), {_s(x)})' for x in q.ADULT_MARKERS)})
+_ADULT = f"""SELECT seq, len({_TAGS}) AS n_tags FROM (SELECT * REPLACE ({_strip('text')} AS text, coalesce(length_type, 'medium') AS length_type) FROM {POOL}) WHERE text <> '' AND NOT ({' OR '.join(f'contains(lower(text), {_s(x)})' for x in q.ADULT_MARKERS)})
 AND NOT ({' OR '.join(f'contains(text, {_s(x)})' for x in q.CHILD_WORDS)}) AND lang_type IN ({', '.join(map(_s, t.LANG_TYPES))}) AND {_FITS} AND {_COMPLETE} AND NOT {_PHONETIC} AND len({_TAGS}) <= 4
-AND {_U} BETWEEN 0.35 * CASE length_type {' '.join(f"WHEN '{k}' THEN {v[0]}" for k, v in q.ADULT_BOUNDS.items())} ELSE 0 END AND 1.5 * CASE length_type {' '.join(f"WHEN '{k}' THEN {v[1]}" for k, v in q.ADULT_BOUNDS.items())} ELSE 9999 END + 10""")
+AND {_U} BETWEEN 0.35 * CASE length_type {' '.join(f"WHEN '{k}' THEN {v[0]}" for k, v in q.ADULT_BOUNDS.items())} ELSE 0 END AND 1.5 * CASE length_type {' '.join(f"WHEN '{k}' THEN {v[1]}" for k, v in q.ADULT_BOUNDS.items())} ELSE 9999 END + 10"""
+
+
+@query(_ADULT)
 def adult_filter(spark: SparkSession, d: str) -> DataFrame:
     """The filter variant for adult texts: other bounds, no child words."""
     return q.adult(table(spark, d, POOL, "seq", "text", "lang_type", "length_type")).select("seq", F.size(t.tags("text")).alias("n_tags"))
 
 
+@query(f"SELECT a.n AS passed, b.n - a.n AS rejected FROM (SELECT count(*) AS n FROM ({_ADULT})) a, (SELECT count(*) AS n FROM {POOL}) b")
+def adult_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Texts that the variant for adult texts passes and rejects."""
+    df = table(spark, d, POOL, "seq", "text", "lang_type", "length_type")
+    return q.adult(df).agg(F.count("*").alias("passed")).crossJoin(F.broadcast(df.agg(F.count("*").alias("_n")))).select("passed", (F.col("_n") - F.col("passed")).alias("rejected"))
+
+
 _LANG = "regexp_extract(replace(lower(trim(lang)), '-', '_'), '^[^_]*', 0)"
 
 

@@ -73,7 +73,9 @@ def orphans(have: DataFrame, want: DataFrame, key: str = "wav") -> DataFrame:
 
 def key_map(spark: SparkSession, path: str, policy: str = "strict") -> DataFrame:
     """key, value of lines of two fields. strict: a bad line or a repeated key raises; lenient: bad lines are left out, the last line of a key wins."""
-    raw = spark.read.text(path).withColumn("no", F.monotonically_increasing_id()).where(F.trim("value") != "")
+    # lines in the order of files, blocks and places; partitions alone don't follow it, files are packed by size
+    at = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    raw = spark.read.text(path).select("value", at.alias("no")).where(F.trim("value") != "")
     d = raw.select("no", F.regexp_extract("value", r"^\s*(\S+)\s+(.*\S)\s*$", 1).alias("key"), F.regexp_extract("value", r"^\s*(\S+)\s+(.*\S)\s*$", 2).alias("v"))
     if policy == "lenient":
         return d.where(F.col("key") != "").groupBy("key").agg(F.max_by("v", "no").alias("value"))
@@ -93,7 +95,8 @@ def shard_list(spark: SparkSession, path: str, repeat: int = 1) -> DataFrame:
 
 def dimension(spark: SparkSession, path: str, key: str, schema: str) -> DataFrame:
     """TSV with a header; the last line of a key wins."""
-    d = spark.read.schema(schema).option("header", True).option("sep", "\t").csv(path).withColumn("_no", F.monotonically_increasing_id())
+    at = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    d = spark.read.schema(schema).option("header", True).option("sep", "\t").csv(path).withColumn("_no", at)
     rest = [c for c in d.columns if c not in (key, "_no")]
     return d.where(F.col(key).isNotNull()).groupBy(key).agg(*[F.max_by(c, "_no").alias(c) for c in rest])
 
@@ -107,7 +110,9 @@ def probe(value: str | Column, field: str, first: int = 2000) -> Column:
 def speakers(paths: DataFrame, column: str, root: str) -> DataFrame:
     """dataset, speaker of every path below a root; none at all raises as the result is read."""
     rest = F.split(F.substring(F.col(column), len(root.rstrip("/")) + 2, 1 << 30), "/")
-    return paths.where(F.col(column).startswith(root.rstrip("/") + "/") & (F.size(rest) >= 3)).select(rest[0].alias("dataset"), rest[1].alias("speaker")).distinct()
+    found = paths.where(F.col(column).startswith(root.rstrip("/") + "/") & (F.size(rest) >= 3)).select(F.get(rest, 0).alias("dataset"), F.get(rest, 1).alias("speaker")).distinct()
+    none = F.raise_error(F.lit(f"no speakers below {root}")).cast("string")
+    return found.unionByName(found.agg(F.count("*").alias("n")).where("n = 0").select(none.alias("dataset"), F.lit("").alias("speaker")))
 
 
 def _files(spark: SparkSession, root: str, glob: str) -> DataFrame:
