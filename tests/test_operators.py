@@ -40,6 +40,19 @@ def test_histogram_and_statistics(spark):
     assert d["n"] == 1 and d["failed"] == 2
 
 
+def test_percentiles_by_ranges_are_exact(spark, monkeypatch):
+    rnd = random.Random(4)
+    rows = [(rnd.choice(["a", "a", "a", "b", None]), rnd.choice([0.0, 0.0, rnd.random(), rnd.gauss(5, 3), None, float("nan")])) for _ in range(3000)] + [("one", 7.0), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(6)
+    for cuts in (3, 50):
+        monkeypatch.setattr(stats, "CUTS", cuts)
+        for by in (["g"], []):
+            one, two = (sorted(map(tuple, stats.distribution(df, "x", by, map_bytes=m).collect()), key=str) for m in (1 << 40, 0))
+            assert str(one) == str(two) and len(one) == (5 if by else 1)
+    assert stats.median(df.where("not isnan(x)"), "x", 0).first() == stats.median(df.where("not isnan(x)"), "x").first()
+    assert stats.median(df.limit(0), "x", 0).first()[0] is None and stats.distribution(df.limit(0), "x", ["g"], map_bytes=0).count() == 0
+
+
 def test_fingerprints(spark):
     import hashlib
 

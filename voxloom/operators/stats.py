@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..session import written
+
 LEVELS = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 
 
@@ -18,14 +21,73 @@ def finite(c: str | Column) -> Column:
     return F.when(~F.isnan(c) & (F.abs(c) < float("inf")), c)
 
 
-def distribution(df: DataFrame, value: str, by: list[str] | None = None, levels: tuple[float, ...] = LEVELS, digits: int = 6) -> DataFrame:
-    """count, failed (null or not finite), mean, population deviation, min, max and interpolated percentiles; exact, one aggregation."""
+MAP_BYTES = 8 << 30  # of input, up to which one map of counted values a group is made
+CUTS = 200
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files and tables that a plan reads, by the planner's own figures; no job runs."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
+
+
+def percentiles_by_ranges(df: DataFrame, value: str, by: list[str], levels: tuple[float, ...]) -> DataFrame:
+    """by, _p: exact interpolated percentiles of each group (nulls left out), in two passes without a map of all values.
+
+    Approximate quantiles cut each group into CUTS ranges, whose counts tell which of them hold the ranks that are asked for; only the rows
+    of those are counted by value and summed up, range by range. So a task holds the distinct values of one range, whatever the size
+    of a group and however many rows share a value.
+    """
+    keys = [f"_g{k}" for k in range(len(by))] or ["_g"]
+    rows = df.where(F.col(value).isNotNull()).select(*([F.col(c).alias(k) for c, k in zip(by, keys)] or [F.lit(0).alias("_g")]), F.col(value).cast("double").alias("_v"))
+    cuts = rows.groupBy(*keys).agg(F.approx_percentile("_v", [k / CUTS for k in range(1, CUTS)], 10_000).alias("_c"), F.count("*").alias("_n"))
+    r, c = rows.alias("r"), cuts.alias("c")
+    placed = r.join(c, reduce(lambda x, y: x & y, [F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys])).select(*[F.col(f"r.{k}").alias(k) for k in keys], "_v", "_n", F.size(F.filter("_c", lambda x: x < F.col("_v"))).alias("_b"))
+    counted = placed.groupBy(*keys, "_b").agg(F.count("*").alias("_m"), F.first("_n").alias("_n"))
+    before = F.coalesce(F.sum("_m").over(W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # CUTS rows a group
+    ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(F.lit(p) * (F.col("_n") - 1)), F.ceil(F.lit(p) * (F.col("_n") - 1))) for p in levels])))
+    asked = counted.withColumn("_o", before).withColumn("_r", F.filter(ranks, lambda x: (x >= F.col("_o")) & (x < F.col("_o") + F.col("_m")))).where(F.size("_r") > 0)
+    a, p = asked.alias("a"), placed.alias("p")
+    on = reduce(lambda x, y: x & y, [F.col(f"p.{k}").eqNullSafe(F.col(f"a.{k}")) for k in (*keys, "_b")])
+    kept = p.join(a, on).select(*[F.col(f"p.{k}").alias(k) for k in (*keys, "_b")], "_v", F.col("a._o").alias("_o"), F.col("a._r").alias("_r"), F.col("a._n").alias("_n"))
+    values = kept.groupBy(*keys, "_b", "_v").agg(F.count("*").alias("_m"), F.first("_o").alias("_o"), F.first("_r").alias("_r"), F.first("_n").alias("_n"))
+    at = F.col("_o") + F.coalesce(F.sum("_m").over(W.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    hits = values.withColumn("_at", at).select(*keys, "_v", "_n", F.explode(F.filter("_r", lambda x: (x >= F.col("_at")) & (x < F.col("_at") + F.col("_m")))).alias("_k"))
+    found = hits.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_k", "_v"))).alias("_f"), F.first("_n").alias("_n"))
+
+    def level(p: float) -> Column:
+        x = F.lit(p) * (F.col("_n") - 1)
+        low, high = F.element_at("_f", F.floor(x)), F.element_at("_f", F.ceil(x))
+        return F.when(low == high, low).otherwise((F.ceil(x) - x) * low + (x - F.floor(x)) * high)
+
+    return found.select(*keys, F.array(*map(level, levels)).alias("_p"))
+
+
+def distribution(df: DataFrame, value: str, by: list[str] | None = None, levels: tuple[float, ...] = LEVELS, digits: int = 6, map_bytes: int = MAP_BYTES) -> DataFrame:
+    """count, failed (null or not finite), mean, population deviation, min, max and interpolated percentiles, all exact.
+
+    Up to map_bytes of input the percentiles come from one map of counted values a group, in the same aggregation; beyond, where such a map
+    could outgrow a task, from percentiles_by_ranges. Both give the same values.
+    """
+    by = by or []
     x = finite(value)
     r = lambda c, name: F.round(c, digits).alias(name)
     aggs = [F.count(x).alias("n"), F.count_if(x.isNull()).alias("failed"), r(F.avg(x), "mean"), r(F.stddev_pop(x), "std"), F.min(x).alias("min"), F.max(x).alias("max")]
-    # one map of counted values gives all levels
-    got = df.groupBy(*(by or [])).agg(*aggs, F.percentile(x, F.array(*map(F.lit, levels))).alias("_p"))
-    return got.select(*(by or []), "n", "failed", "mean", "std", "min", "max", *[r(F.col("_p")[k], f"p{round(p * 100)}") for k, p in enumerate(levels)])
+    out = [*by, "n", "failed", "mean", "std", "min", "max", *[r(F.col("_p")[k], f"p{round(p * 100)}") for k, p in enumerate(levels)]]
+    if input_bytes(df) <= map_bytes:
+        return df.groupBy(*by).agg(*aggs, F.percentile(x, F.array(*map(F.lit, levels))).alias("_p")).select(*out)
+    df = written(df.select(*by, x.alias("_x"))).withColumnRenamed("_x", value)
+    got = percentiles_by_ranges(df, value, by, levels)
+    whole = df.groupBy(*by).agg(*aggs)
+    on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g{k}")) for k, c in enumerate(by)]) if by else F.lit(True)
+    return whole.join(got, on, "left").select(*out)
+
+
+def median(df: DataFrame, value: str, map_bytes: int = MAP_BYTES) -> DataFrame:
+    """One row, _median: the exact median of the values that aren't null; null without any."""
+    if input_bytes(df) <= map_bytes:
+        return df.agg(F.percentile(value, 0.5).alias("_median"))
+    return percentiles_by_ranges(df, value, [], (0.5,)).agg(F.max(F.col("_p")[0]).alias("_median"))
 
 
 def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:

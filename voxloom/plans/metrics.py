@@ -131,7 +131,7 @@ def cer_summary(spark: SparkSession, d: str) -> DataFrame:
     """Weighted and mean CER."""
     df = table(spark, d, "eval", "cer", "substitutions", "insertions", "deletions", "reference_chars").where(s.finite("cer").isNotNull() & (F.col("reference_chars") > 0))
     ops, r = F.sum(F.col("substitutions") + F.col("insertions") + F.col("deletions")), lambda c: F.round(F.coalesce(c, F.lit(0.0)) * 100, 6)
-    return df.agg(ops.alias("operations"), F.sum("reference_chars").alias("characters"), r(F.try_divide(ops, F.sum("reference_chars"))).alias("weighted"), r(F.avg("cer")).alias("mean"), r(F.percentile("cer", 0.5)).alias("median"), r(F.max("cer")).alias("worst"), r(F.min("cer")).alias("best"))
+    return df.agg(ops.alias("operations"), F.sum("reference_chars").alias("characters"), r(F.try_divide(ops, F.sum("reference_chars"))).alias("weighted"), r(F.avg("cer")).alias("mean"), r(F.max("cer")).alias("worst"), r(F.min("cer")).alias("best")).crossJoin(F.broadcast(s.median(df, "cer"))).select("operations", "characters", "weighted", "mean", r(F.col("_median")).alias("median"), "worst", "best")
 
 
 _GROUP = f"SELECT {_FOLD} AS dataset, sum(substitutions + insertions + deletions) AS operations, sum(reference_chars) AS units, round(sum(substitutions + insertions + deletions) / sum(reference_chars) * 100, 3) AS rate FROM eval WHERE reference_chars > 0 AND cer IS NOT NULL GROUP BY 1"
