@@ -101,3 +101,9 @@ def test_stream_keeps_state(spark, tmp_path):
     assert streams.drained(stream(), str(out)).count() == 2
     spark.createDataFrame([row(3, "今天我们去公园放风筝啦"), row(4, "第三句话说的是别的事情哦")], schema).write.mode("append").parquet(str(src))
     assert {r["k"] for r in streams.drained(stream(), str(out)).collect()} == {"1", "2", "4"}  # resumed: 3 is near 1
+
+
+def test_rows_without_files_are_skipped(spark, tmp_path):
+    (tmp_path / "a b.txt").write_text("x")
+    rows = spark.createDataFrame([(str(tmp_path / "a b.txt"), 1), (str(tmp_path / "c.txt"), 2), (None, 3)], "path string, i int")
+    assert [r["i"] for r in readers.present(rows, "path", spark, str(tmp_path)).collect()] == [1]

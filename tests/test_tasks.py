@@ -58,3 +58,10 @@ def test_masked(spark):
 def test_fresh(spark):
     df = spark.createDataFrame([("a", (1, 2)), ("b", (1, 2))], "p string, s struct<size: bigint, mtime_ns: bigint>")
     assert [r["p"] for r in contracts.fresh(df, spark.createDataFrame([("a", 1, 2), ("b", 1, 3)], "p string, size bigint, mtime_ns bigint"), "p", "s").collect()] == ["a"]
+
+
+def test_stale_inputs_are_left_out(spark):
+    clips = spark.createDataFrame([("a", "x", None), ("b", "y", "zh")], "k string, t string, l string").withColumn("f", contracts.canonical_json(["t", "l"]))
+    evals = clips.selectExpr("k", "sha2(f, 256) as fp").unionByName(spark.createDataFrame([("a", "old"), ("gone", "x")], "k string, fp string"))
+    got = contracts.unchanged_inputs(evals, clips.withColumn("t", F.when(F.col("k") == "b", "changed").otherwise(F.col("t"))), "k", "fp", ["t", "l"])
+    assert [r["k"] for r in got.collect()] == ["a"]

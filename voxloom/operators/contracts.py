@@ -76,3 +76,9 @@ def fresh(df: DataFrame, stat: DataFrame, key: str, signature: str) -> DataFrame
     """Rows whose stored (size, mtime_ns) still is the file's."""
     s = stat.select(key, F.col("size").alias("_size"), F.col("mtime_ns").alias("_mtime"))
     return df.join(s, key).where((F.col(f"{signature}.size") == F.col("_size")) & (F.col(f"{signature}.mtime_ns") == F.col("_mtime"))).drop("_size", "_mtime")
+
+
+def unchanged_inputs(evals: DataFrame, clips: DataFrame, key: str, stored: str, parts: list[str]) -> DataFrame:
+    """evals whose stored fingerprint is that of the clips' present inputs: the SHA-256 of the parts' canonical JSON (J4). Evaluations of clips that aren't there any more stay out."""
+    now = clips.select(key, F.sha2(canonical_json(parts), 256).alias("_now"))
+    return evals.join(now, key).where(F.col(stored) == F.col("_now")).drop("_now")

@@ -78,9 +78,9 @@ def contiguous(df: DataFrame, by: str, n: int, name: str = "slice", **kw) -> Dat
     return rows.crossJoin(F.broadcast(each)).withColumn(name, F.floor((F.col("_rn") - 1) / F.col("_each")).cast("int")).drop("_rn", "_each")
 
 
-def shard_manifest(df: DataFrame, by: str, seconds: str, size: int) -> DataFrame:
-    """shard, items, seconds of shards of `size` rows in order."""
-    return chunked(df, by, size, "shard").groupBy("shard").agg(F.count("*").alias("items"), F.round(F.sum(seconds), 3).alias("seconds"))
+def shard_manifest(df: DataFrame, by: str, seconds: str, size: int, ok: Column | None = None) -> DataFrame:
+    """shard, items, seconds of shards of `size` rows in order. With ok only rows that meet it fill shards (K9)."""
+    return chunked(df if ok is None else df.where(F.coalesce(ok, F.lit(False))), by, size, "shard").groupBy("shard").agg(F.count("*").alias("items"), F.round(F.sum(seconds), 3).alias("seconds"))
 
 
 def hash_worker(key: str | Column, n: int) -> Column:

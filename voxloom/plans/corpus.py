@@ -116,6 +116,13 @@ def shard_manifest(spark: SparkSession, d: str) -> DataFrame:
     return o.shard_manifest(df, "doc_id", "s", 100)
 
 
+@query("SELECT (row_number - 1) // 100 AS shard, count(*) AS items, round(sum(n_chars / 15), 3) AS seconds FROM (SELECT row_number() OVER (ORDER BY doc_id) AS row_number, n_chars FROM documents WHERE text IS NOT NULL AND text <> '' AND n_chars > 0) GROUP BY 1")
+def success_shards(spark: SparkSession, d: str) -> DataFrame:
+    """Shards of 100 successes: rows without a text or a length don't fill one (K9)."""
+    df = table(spark, d, "documents", "doc_id", "n_chars", "text").withColumn("s", F.col("n_chars") / 15)
+    return o.shard_manifest(df, "doc_id", "s", 100, ok=(F.col("text") != "") & (F.col("n_chars") > 0))
+
+
 @query("SELECT CASE WHEN x >= 10 AND x <= 1500 THEN " + " + ".join(f"(x > {10 + 1490 * k / 20})::INT" for k in range(1, 20)) + " END AS bucket, count(*) AS n FROM (SELECT n_chars AS x FROM documents) GROUP BY 1")
 def length_buckets(spark: SparkSession, d: str) -> DataFrame:
     """Documents per length bucket, null outside."""

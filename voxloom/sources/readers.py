@@ -188,6 +188,12 @@ def tar_members(spark: SparkSession, root: str, glob: str = "*.tar", held: int =
     return _files(spark, root, glob).mapInPandas(run, "shard string, key string, ext string, data binary")
 
 
+def present(rows: DataFrame, column: str, spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
+    """Rows whose file is there: a join with a listing of the root, so that no row opens a file."""
+    listed = _files(spark, root, glob).select(F.regexp_replace("path", "^file:/*", "/").alias(column))
+    return rows.join(listed, column, "left_semi")
+
+
 def shuffled_shards(shards: DataFrame, url: str, epoch: int, rank: int = 0, ranks: int = 1) -> DataFrame:
     """Shards of one rank in the order of an epoch, by hash of address and epoch."""
     h = F.xxhash64(F.col(url), F.lit(epoch))
