@@ -75,3 +75,13 @@ def test_restored_texts_equal_their_originals(spark):
     missed = [(b[1][:80], true[b[0]][:60]) for b in bent if not got[b[0]]["found"]]
     assert len(bent) > 80 and len(missed) <= 0.05 * len(bent), missed  # a lone sign such as × that reads as one common character
     assert sum(got[k]["restored"] == t for k, t in true.items()) > 0.9 * len(true)
+
+
+def test_words_hidden_in_clean_runs(spark):
+    texts = ["昨天下午我们在楼梯口把水放到阳台上，得赶紧告诉老师。", "弟が雨の日に古い傘を見つけて石を洗っていた。"] * 60
+    m = encoding.train(spark.createDataFrame([(t,) for t in texts], "text string"), "text")
+    for t, word in ((texts[0], "水放"), (texts[0], "赶紧告诉"), (texts[1], "古い傘を")):
+        bad = t.replace(word, word.encode().decode("gb18030"))
+        assert encoding.hidden(bad) and encoding.repair(bad, m, encoding.BASE)[0] == t
+    assert all(encoding.hidden(t) == [] and encoding.repair(t, m, encoding.BASE)[1] == [] for t in texts[:2])
+    assert encoding.hidden("") == [] and encoding.hidden("长" * 50_000) == []

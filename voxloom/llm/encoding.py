@@ -28,6 +28,7 @@ import re
 import uuid
 from collections.abc import Iterator
 from functools import cache, lru_cache
+from itertools import accumulate
 from operator import concat
 
 import numpy as np
@@ -222,8 +223,36 @@ def best(s: str, before: str, after: str, model: Model, margins: tuple[float, fl
     return top
 
 
+_ONE = re.compile(rb"[\xe0-\xef][\x80-\xbf]{2}")
+_TWO = re.compile(rb"(?:[\xe0-\xef][\x80-\xbf]{2}){2}")
+
+
+def hidden(s: str) -> list[tuple[int, int]]:
+    """Stretches of a run whose bytes, in an encoding of two bytes a character, are two whole sequences of UTF-8 (of three bytes, as Chinese, Japanese, Korean and general punctuation have them) or more: garbled words between clean characters of the same script."""
+    for wrong in DOUBLE[:4]:
+        b = encoded(s, wrong)
+        if b is None or not _TWO.search(b):
+            continue
+        at = list(accumulate((len(c.encode(wrong)) for c in s), initial=0)) if len(b) != 2 * len(s) else list(range(0, len(b) + 1, 2))
+        place, out, i = {x: k for k, x in enumerate(at)}, [], 0
+        while i < len(s):
+            end, n, last = at[i], 0, -1
+            while m := _ONE.match(b, end):
+                end, n = m.end(), n + 1
+                if n >= 2 and end in place:
+                    last = place[end]
+            if last > i:
+                out.append((i, last))
+                i = last
+            else:
+                i += 1
+        if out:
+            return out
+    return []
+
+
 def _spans(text: str, lo: int, hi: int, model: Model) -> Iterator[list[tuple[int, int]]]:
-    """Ways to cut the run text[lo:hi], the coarsest first: as it is; without its last ASCII character; by script. What then looks garbled is also cut by sentence marks (which belong to what stands around), to what one encoding can hold, and at its ends."""
+    """Ways to cut the run text[lo:hi], the coarsest first: as it is; without its last ASCII character; by script; to what hides UTF-8. What then looks garbled is also cut by sentence marks (which belong to what stands around), to what one encoding can hold, and at its ends."""
     s = text[lo:hi]
     yield [(lo, hi)]
     if s[-1] <= "\x7f":
@@ -231,6 +260,8 @@ def _spans(text: str, lo: int, hi: int, model: Model) -> Iterator[list[tuple[int
     yield [(lo + x.start(), lo + x.end()) for x in PIECE.finditer(s)]
     if len(s) < 4:
         return
+    if inside := [(lo + x.start() + i, lo + x.start() + j) for x in PIECE.finditer(s) if x[0][0] > "\u2e7f" for i, j in hidden(x[0])]:
+        yield inside
     odd = []
     for x in CLAUSE.finditer(s):
         i, j = lo + x.start(), lo + x.end()
