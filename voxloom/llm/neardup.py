@@ -224,7 +224,7 @@ class NearDuplicates:
         by = F.struct(F.col(order), F.col(text)) if order else F.struct(F.col(text))
         parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
         # an explicit number of partitions is kept by the aggregation and by adaptive execution: the Python work behind it is spread
-        once = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).repartition(parts, key).groupBy(key).agg(F.min(by).alias("_m")).select(key, F.col(f"_m.{text}").alias(text))
+        once = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).repartition(parts, key).groupBy(key).agg(F.min(by).alias("_m")).select(key, F.col(f"_m.{text}").alias(text)).where(F.char_length(text) >= least_units)  # a unit has a character at least
         rows = written(sets(once, key, text, least_units))
         self.classes = written(rows.groupBy("sig").agg(F.first("keys").alias("keys")).withColumn("did", F.monotonically_increasing_id()))
         self.members = rows.select("_k", "sig").join(self.classes.select("sig", "did"), "sig").select("_k", "did")
