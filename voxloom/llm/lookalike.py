@@ -74,11 +74,12 @@ for _script, _own, _as in (("Latn", LATIN, LATIN_AS), ("Cyrl", CYRILLIC, CYRILLI
 
 _HAN_OF, _HIRA_OF = dict(zip(KATAKANA, HAN)), dict(zip(KATAKANA_2, HIRAGANA_2))
 _KATA_OF = {v: k for k, v in (_HAN_OF | _HIRA_OF).items()}
-#: A run of letters (with their marks) that holds at least one letter of an alphabet other than Latin.
+#: Runs of letters with their marks, and the letters of an alphabet other than Latin that make one worth resolving; runs of what katakana look like.
 _OTHER = "ɑɡͰ-ϿЀ-ԯ԰-֏Ꭰ-ᏼ"
-_ALPHA = rf"[A-Za-zªºÀ-ɏɐ-ʯ̀-ͯ{_OTHER}]"
-RUN = re.compile(rf"{_ALPHA}*[{_OTHER}]{_ALPHA}*")
-KANA_RUN = re.compile(f"[ァ-ヺー{HAN}{HIRAGANA_2}]*[{KATAKANA}{KATAKANA_2}][ァ-ヺー{HAN}{HIRAGANA_2}]*|[ァ-ヺー][ァ-ヺー{HAN}{HIRAGANA_2}]+|[{HAN}{HIRAGANA_2}]+[ァ-ヺー]+")
+RUN = re.compile(rf"[A-Za-zªºÀ-ɏɐ-ʯ̀-ͯ{_OTHER}]+")
+OTHER = re.compile(f"[{_OTHER}]")
+KANA_RUN = re.compile(f"[ァ-ヺー{HAN}{HIRAGANA_2}]+")
+KANA = re.compile("[ァ-ヺー]")
 
 
 @cache
@@ -108,6 +109,8 @@ def resolve(run: str) -> tuple[str, str]:
 
 def _kana(m: re.Match) -> str:
     run = m[0]
+    if not KANA.search(run):
+        return run
     sure = any(c not in _HAN_OF and c not in _HIRA_OF and c not in _KATA_OF for c in run)
     if sure:
         return "".join(_KATA_OF.get(c, c) for c in run)
@@ -119,10 +122,10 @@ def unify(text: str | None) -> str | None:
     if text is None or text.isascii():
         return text
     t = ud.normalize("NFD", "".join(map(folded, text)))
-    if RUN.search(t):
-        t = RUN.sub(lambda m: resolve(m[0])[0], t)
+    if OTHER.search(t):
+        t = RUN.sub(lambda m: resolve(m[0])[0] if OTHER.search(m[0]) else m[0], t)
     t = ud.normalize("NFC", t)
-    return KANA_RUN.sub(_kana, t)
+    return KANA_RUN.sub(_kana, t) if KANA.search(t) else t
 
 
 def unified(df: DataFrame, key: str, *texts: str) -> DataFrame:

@@ -25,6 +25,7 @@ from .common import TAG, map_rows, spread
 
 WINDOW = 4
 LINE_LIMIT = 0.2
+ADDRESS = 300  # most characters of a line that is an address or a page count
 SOLID = 0.3  # least share of letters and digits in a line
 LINE = re.compile(r"[^\n\r。！？!?；;…]+[\n\r。！？!?；;…]*|[\n\r。！？!?；;…]+")
 
@@ -74,7 +75,7 @@ def _marks(line: Line, bare: str, limit: float) -> bool:
 def _navigates(line: Line, bare: str, limit: float) -> bool:
     """A menu word alone, items between bars, a page count, an address."""
     word = bare.strip(" \t|»›<>:·.-").lower()
-    return word in _ALONE or bool(_BARS.match(bare) or _PAGE.fullmatch(bare) or _LINK.fullmatch(bare))
+    return word in _ALONE or bool(_BARS.match(bare)) or len(bare) <= ADDRESS and bool(_PAGE.fullmatch(bare) or _LINK.fullmatch(bare))
 
 
 def _notices(line: Line, bare: str, limit: float) -> bool:
