@@ -43,7 +43,7 @@ def context_key(*cols: str) -> F.Column:
     return F.concat_ws("\1", *[F.coalesce(c, F.lit("")) for c in cols])
 
 
-COUNTERS = 1 << 16
+COUNTERS = 1 << 13
 
 
 def similar_pairs(df: DataFrame, key: str, text: str, context: tuple[str, ...], least: float) -> DataFrame:
@@ -59,11 +59,12 @@ def similar_pairs(df: DataFrame, key: str, text: str, context: tuple[str, ...],
     rows = written(rows)
     slot = lambda x: F.pmod(x, F.lit(COUNTERS)).cast("int")
     counts = rows.select(F.explode("s").alias("e")).groupBy(slot(F.col("e")).alias("i")).agg(F.count("*").alias("n"))
-    table = counts.agg(F.map_from_entries(F.collect_list(F.struct("i", "n"))).alias("_f"))  # one row of at most COUNTERS counts
-    by_rarity = F.transform(F.array_sort(F.transform("s", lambda x: F.struct(F.coalesce(F.element_at("_f", slot(x)), F.lit(0)).alias("n"), x.alias("x")))), lambda z: z["x"])
+    every = df.sparkSession.range(COUNTERS).select(F.col("id").cast("int").alias("i")).join(counts, "i", "left").select(F.struct("i", F.least(F.coalesce("n", F.lit(0)), F.lit((1 << 31) - 1)).cast("int").alias("n")).alias("z"))
+    table = every.agg(F.transform(F.array_sort(F.collect_list("z")), lambda z: z["n"]).alias("_f"))  # one row of COUNTERS counts, read by place
+    by_rarity = F.transform(F.array_sort(F.transform("s", lambda x: F.struct(F.get("_f", slot(x)).alias("n"), x.alias("x")))), lambda z: z["x"])
     prefix = F.slice("o", F.lit(1), (F.size("s") - F.ceil(F.size("s") * least).cast("int") + 1))
     band = F.floor(F.log(F.size("s").cast("double")) / math.log(1 / least) + 1e-9).cast("int")
-    post = rows.crossJoin(F.broadcast(table)).select("k", "c", "s", by_rarity.alias("o")).select("k", "c", F.explode(prefix).alias("e"), F.size("s").alias("n"), band.alias("b"))
+    post = written(rows.crossJoin(F.broadcast(table)).select("k", "c", "s", by_rarity.alias("o")).select("k", "c", F.explode(prefix).alias("e"), F.size("s").alias("n"), band.alias("b")))
     a = post.select(F.col("k").alias("ka"), "c", "e", F.col("n").alias("na"), F.explode(F.array(F.col("b"), F.col("b") - 1)).alias("b"))
     b = post.select(F.col("k").alias("kb"), "c", "e", F.col("n").alias("nb"), "b")
     fits = (F.col("nb") < F.col("na")) | ((F.col("nb") == F.col("na")) & (F.col("kb") < F.col("ka")))
