@@ -61,6 +61,7 @@ def test_shards_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(i, f"k{i}", bytes([i]), 0.5) for i in range(7)], "o int, k string, d binary, s double")
     m = sinks.write_shards(df, "k", "o", "d", "bin", "s", 3, str(tmp_path)).orderBy("shard").collect()
     assert [r["items"] for r in m] == [3, 3, 1] and m[0]["seconds"] == 1.5
+    assert sorted(p.suffix for p in tmp_path.iterdir() if p.name[0] != ".") == [".jsonl"] * 3 + [".tar"] * 3
     back = readers.tar_members(spark, str(tmp_path))
     assert {(r["key"], bytes(r["data"])) for r in back.collect()} == {(f"k{i}", bytes([i])) for i in range(7)}
     labels = readers.jsonl(spark, str(tmp_path / "*.jsonl"), "id string, duration double").withColumnRenamed("id", "key")

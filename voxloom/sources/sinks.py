@@ -7,6 +7,7 @@ import json
 import os
 import tarfile
 import tempfile
+import uuid
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -53,24 +54,30 @@ def split_errors(df: DataFrame, error: str = "error") -> tuple[DataFrame, DataFr
 def write_shards(df: DataFrame, key: str, order: str, data: str, ext: str, seconds: str, size: int, root: str) -> DataFrame:
     """Packs rows into tar files of `size` rows with a label file each, in order, and returns the manifest shard, tar_path, label_path, items, seconds.
 
-    Shards are written by executors under temporary names and renamed, so a repeated task leaves one file; root must be a folder that all
-    executors share. Rows without data are errors of the manifest's caller and are left out before numbering.
+    Shards are written by executors under temporary names beside their place and moved there, so a repeated task leaves one file; root is a
+    folder that all executors share, of any file system that Arrow knows (a path or an address). Rows without data are errors of the
+    manifest's caller and are left out before numbering.
     """
     rows = chunked(df.where(F.col(data).isNotNull()), order, size, "shard").select("shard", F.col(order).alias("o"), F.col(key).cast("string").alias("k"), F.col(data).alias("d"), F.col(seconds).cast("double").alias("s"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        from pyarrow import fs
+
+        system, folder = fs.FileSystem.from_uri(root)
         pdf = pdf.sort_values("o")
-        name = f"{root}/shard-{int(pdf['shard'].iloc[0]):06d}"
-        with tempfile.NamedTemporaryFile(dir=root, delete=False) as f, tarfile.open(fileobj=f, mode="w") as tar:
+        shard = int(pdf["shard"].iloc[0])
+        name, temporary = f"{folder.rstrip('/')}/shard-{shard:06d}", f"{folder.rstrip('/')}/_{uuid.uuid4().hex}"
+        with system.open_output_stream(f"{temporary}.tar") as f, tarfile.open(fileobj=f, mode="w|") as tar:
             for k, d in zip(pdf["k"], pdf["d"]):
                 info = tarfile.TarInfo(f"{k}.{ext}")
                 info.size = len(d)
                 tar.addfile(info, io.BytesIO(d))
-        os.replace(f.name, f"{name}.tar")
-        with tempfile.NamedTemporaryFile("w", dir=root, delete=False, encoding="utf-8") as f:
-            f.writelines(json.dumps({"id": k, "duration": s}) + "\n" for k, s in zip(pdf["k"], pdf["s"]))
-        os.replace(f.name, f"{name}.jsonl")
-        return pd.DataFrame([(int(pdf["shard"].iloc[0]), f"{name}.tar", f"{name}.jsonl", len(pdf), round(float(pdf["s"].sum()), 3))], columns=["shard", "tar_path", "label_path", "items", "seconds"])
+        with system.open_output_stream(f"{temporary}.jsonl") as f:
+            f.write("".join(json.dumps({"id": k, "duration": s}) + "\n" for k, s in zip(pdf["k"], pdf["s"])).encode())
+        for kind in ("tar", "jsonl"):
+            system.move(f"{temporary}.{kind}", f"{name}.{kind}")
+        shown = f"{root.rstrip('/')}/shard-{shard:06d}"
+        return pd.DataFrame([(shard, f"{shown}.tar", f"{shown}.jsonl", len(pdf), round(float(pdf["s"].sum()), 3))], columns=["shard", "tar_path", "label_path", "items", "seconds"])
 
     return rows.groupBy("shard").applyInPandas(run, "shard bigint, tar_path string, label_path string, items bigint, seconds double")
 
