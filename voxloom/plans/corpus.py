@@ -42,6 +42,17 @@ def cer_operations(spark: SparkSession, d: str) -> DataFrame:
     return df.select("wav", "x.*", ((F.col("x.s") + F.col("x.i") + F.col("x.d")) / F.nullif(F.col("x.n"), F.lit(0))).alias("cer"))
 
 
+_W = lambda c: f"regexp_replace(regexp_replace(lower(regexp_replace({c}, '[^\\p{{L}}\\p{{M}}\\p{{N}}''\\s]', '', 'g')), '\\s+', ' ', 'g'), {_s(f'^{t.WS}+|{t.WS}+$')}, '', 'g')"
+
+
+@query(f"""WITH e AS (SELECT DISTINCT gen_text, asr_hypo, string_split({_W(f"regexp_replace(gen_text, {_s(t.ANY_TAG)}, '', 'g')")}, ' ') AS x, string_split({_W('asr_hypo')}, ' ') AS y FROM eval WHERE asr_hypo IS NOT NULL AND gen_text IS NOT NULL),
+d AS (SELECT gen_text, asr_hypo, len(x) AS n, CASE WHEN x = y THEN 0 ELSE list_reduce(x, lambda row, w: list_reduce(list_zip(y, row[:-2], row[2:]), lambda acc, z: list_append(acc, least(acc[-1] + 1, z[2] + CASE WHEN z[1] = w THEN 0 ELSE 1 END, z[3] + 1)), [row[1] + 1]), range(len(y) + 1))[-1] END AS distance FROM e)
+SELECT wav, distance, d.n AS n FROM eval JOIN d USING (gen_text, asr_hypo)""")
+def wer_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Distance by word and words of the reference of every row with a hypothesis."""
+    return wer_operations(spark, d).where("n is not null").select("wav", (F.col("s") + F.col("i") + F.col("d")).alias("distance"), "n")
+
+
 @query()
 def wer_operations(spark: SparkSession, d: str) -> DataFrame:
     """Substitutions, insertions and deletions by word."""
@@ -76,7 +87,14 @@ def context_pairs(spark: SparkSession, d: str) -> DataFrame:
     return dd.similar_pairs(df, "id", "text", ("scenario", "age_tier"), 0.6)
 
 
-@query()
+_CTX = ", ".join(f"coalesce({c}, '')" for c in dd.CONTEXT)
+
+
+@query(f"""WITH i AS (SELECT id, min(seq) AS seq, arg_min(concat_ws(chr(1), {_CTX}), seq) AS c, arg_min(text, seq) AS text FROM {POOL} WHERE id IS NOT NULL GROUP BY 1), r AS (SELECT id, seq, c, {_BARE} AS s FROM i),
+g AS (SELECT id, seq, c, list_distinct(list_concat(list_transform(range(1, length(s)), lambda i: substr(s, i, 2)), regexp_extract_all(s, '[a-zA-Z]+'))) AS t FROM r WHERE length(s) > 0),
+p AS (SELECT a.id AS early, b.id AS late, a.seq AS q0, b.seq AS q1 FROM g a JOIN g b ON a.c = b.c AND (a.seq, a.id) < (b.seq, b.id) WHERE len(a.t) > 0 AND len(b.t) > 0 AND len(list_intersect(a.t, b.t)) / (len(a.t) + len(b.t) - len(list_intersect(a.t, b.t))) >= 0.88),
+d AS (SELECT list_reduce(list({{'early': early, 'late': late}} ORDER BY q1, late, q0), lambda gone, x: CASE WHEN list_contains(gone, x.early) OR list_contains(gone, x.late) THEN gone ELSE list_append(gone, x.late) END, []::VARCHAR[]) AS gone FROM p)
+SELECT id FROM i, d WHERE NOT coalesce(list_contains(gone, id), false)""")
 def dedup_semantic(spark: SparkSession, d: str) -> DataFrame:
     """Greedy first-wins deduplication in a context."""
     df = table(spark, d, POOL, "id", "text", "seq", *dd.CONTEXT).where("id is not null")

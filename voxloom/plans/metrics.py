@@ -398,7 +398,14 @@ def text_ids(spark: SparkSession, d: str) -> DataFrame:
     return df.select("id", F.concat(F.lit("gen_"), F.substring(F.md5(canonical_json(["emotion", "text"])), 1, 16)).alias("text_id"))
 
 
-@query()
+def _object(fields: dict[str, str]) -> str:
+    return "'{' || " + " || ', ' || ".join(f"'\"{k}\": ' || {v}" for k, v in sorted(fields.items())) + " || '}'"
+
+
+_IDS = {"text": _json("text"), "lang_type": _json("lang_type"), "scenario": _json("nullif(scenario, '')"), "task_id": "coalesce(task_id::VARCHAR, 'null')"}
+
+
+@query(f"SELECT seq, id, 'gen_' || substr(md5({_object(_IDS | {'length_type': _json('length_type'), 'subscene': _json('subscene')})}), 1, 16) AS text_id FROM llm_children_100k_asr_complete")
 def generated_text_ids(spark: SparkSession, d: str) -> DataFrame:
     """The id that each row of the pool gets from its text, types, scene and task; every row, a stored id beside it (C12). A null counts as a field that holds null."""
     from ..operators.contracts import generated_ids
@@ -406,7 +413,7 @@ def generated_text_ids(spark: SparkSession, d: str) -> DataFrame:
     return generated_ids(table(spark, d, "llm_children_100k_asr_complete", "seq", "id", "text", "lang_type", "length_type", "scenario", "subscene", "task_id")).select("seq", "id", "text_id")
 
 
-@query()
+@query(f"""SELECT seq, id, 'adult_' || substr(md5({_object(_IDS | {'scenario': _json('scenario'), 'age_tier': "'\"adult\"'"})}), 1, 16) AS text_id FROM llm_children_100k_asr_complete""")
 def adult_text_ids(spark: SparkSession, d: str) -> DataFrame:
     """The same with the adult generator's fields (H20), over every row as if it were that generator's."""
     from ..operators.contracts import adult_ids
