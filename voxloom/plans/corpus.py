@@ -279,11 +279,17 @@ def text_chunks(spark: SparkSession, d: str) -> DataFrame:
     return spread(table(spark, d, "documents", "doc_id", "text")).select("doc_id", F.posexplode(speech.chunked("text", 200, 40)).alias("pos", "chunk"))
 
 
-@query()
+# Weights of the scripts that the tables hold, written down apart from the function's.
+_WEIGHT = """CASE WHEN regexp_matches(c, '\\p{M}') THEN 0.0 WHEN regexp_matches(c, '[\\p{P}\\p{S}]') THEN 0.5 WHEN regexp_matches(c, '\\p{Z}') THEN 0.2 WHEN regexp_matches(c, '\\p{N}') THEN 3.5 WHEN unicode(c) BETWEEN 7936 AND 12543 THEN 2.2 WHEN unicode(c) BETWEEN 12592 AND 12687 THEN 2.5
+WHEN unicode(c) BETWEEN 12544 AND 40959 THEN 3.0 WHEN unicode(c) BETWEEN 44032 AND 55215 THEN 2.5 WHEN unicode(c) BETWEEN 63744 AND 64255 OR unicode(c) > 131072 THEN 3.0 ELSE 1.0 END::DOUBLE"""
+
+
+@query(f"""WITH w AS (SELECT seq, text, coalesce(list_sum(list_transform(string_split(text, ''), lambda c: CASE WHEN c = '' THEN 0.0::DOUBLE ELSE {_WEIGHT} END)), 0) AS weight FROM {POOL}), x AS (SELECT *, coalesce(weight, 0) / 14.1 AS x FROM w)
+SELECT seq, CASE WHEN text IS NOT NULL THEN round(weight, 6) END AS weight, round(CASE WHEN x > 0 AND x < 50 THEN 50 * (x / 50) ** (1.0::DOUBLE / 3) ELSE x END, 6) AS seconds FROM x""")
 def estimated_durations(spark: SparkSession, d: str) -> DataFrame:
     """Spoken weight and estimated seconds of texts (M3-M5)."""
     df = spread(table(spark, d, POOL, "seq", "text"))
-    return df.select("seq", speech.spoken_weight("text").alias("weight"), speech.estimated_seconds("text", F.lit("Nice to meet you."), F.lit(1.0)).alias("seconds"))
+    return df.select("seq", F.round(speech.spoken_weight("text"), 6).alias("weight"), F.round(speech.estimated_seconds("text", F.lit("Nice to meet you."), F.lit(1.0)), 6).alias("seconds"))
 
 
 @query("SELECT source, count(*) AS n FROM (SELECT source, unnest(range(greatest(1, (doc_id % 3)::INT))) FROM documents) GROUP BY 1")
